@@ -38,10 +38,8 @@ def correct_period(observed: Column, period: Column) -> Column:
 
 def per_year(period: Column) -> Column:
     """How many pay periods a year holds; NULL for an unknown period."""
-    chain = F
-    for name, factor in PERIODS_PER_YEAR.items():
-        chain = chain.when(period == name, F.lit(factor))
-    return chain
+    factors = F.create_map(*[F.lit(x) for pair in PERIODS_PER_YEAR.items() for x in pair])
+    return F.try_element_at(factors, period)
 
 
 def annualise(amount: Column, period: Column) -> Column:

@@ -66,7 +66,7 @@ def built_in_seeds(spark: SparkSession) -> dict[str, DataFrame]:
 
 # --- JSON ---------------------------------------------------------------------------------
 
-LIVE_POSTING = T.StructType.fromDDL(
+LIVE_POSTING = (
     "id string, title string, description string, contract_time string, salary_min double, "
     "salary_max double, latitude double, longitude double, location struct<display_name: string>, "
     "company struct<display_name: string>, category struct<label: string>, created string, "
@@ -74,14 +74,14 @@ LIVE_POSTING = T.StructType.fromDDL(
 )
 
 _CHANGES = "struct<`1`: string, `3`: string, `6`: string, `12`: string>"
-LABOR_PAYLOAD = T.StructType.fromDDL(
+LABOR_PAYLOAD = (
     "Results struct<series: array<struct<seriesID: string, data: array<struct<year: string, "
     "period: string, periodName: string, value: string, latest: string, "
     f"calculations: struct<net_changes: {_CHANGES}, pct_changes: {_CHANGES}>>>>>>"
 )
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Whole-file JSON; a top-level list gives a row per element."""
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.json(path, multiLine=True)
