@@ -9,7 +9,7 @@ from jobtide.fixed_values import DATA_SCIENCE, LINKEDIN, LINKEDIN_LARGE
 from jobtide.functions.dates import from_epoch_ms, safe_date
 from jobtide.functions.labels import location_match
 from jobtide.functions.numbers import rounded_int
-from jobtide.functions.salary import annualise, correct_period, salary_estimate
+from jobtide.functions.salary import correct_period, salary_estimate
 from jobtide.functions.text import norm, not_blank, place_part, soc_code, trimmed
 from jobtide.operators.groups import agg_distinct_list
 from jobtide.operators.joins import geo_match, left_chain, resolve_codes
@@ -44,13 +44,12 @@ def title_to_soc(alternate_titles: DataFrame, occupations: DataFrame) -> DataFra
 
 def linkedin_salaries(salaries: DataFrame) -> DataFrame:
     """Credible annual dollar estimates, one row per salary row."""
-    stated = salaries.select("job_id", "min_salary", "med_salary", "max_salary", "currency", correct_period(
-        F.coalesce("med_salary", "max_salary", "min_salary"), F.col("pay_period")).alias("period"))
-    low, mid, high = (
-        annualise(F.col(c), F.col("period")) for c in ("min_salary", "med_salary", "max_salary")
+    observed = F.coalesce("med_salary", "max_salary", "min_salary")
+    estimate = salary_estimate(
+        F.col("min_salary"), F.col("med_salary"), F.col("max_salary"),
+        correct_period(observed, F.col("pay_period")), F.col("currency"),
     )
-    estimated = stated.select("job_id", rounded_int(
-        salary_estimate(low, mid, high, F.col("currency"))).alias("annual_salary_estimate"))
+    estimated = salaries.select("job_id", rounded_int(estimate).alias("annual_salary_estimate"))
     return estimated.where(F.col("annual_salary_estimate").isNotNull())
 
 

@@ -186,7 +186,8 @@ def emerging_tools(profile: DataFrame, prefix: str = "15", k: int = 15) -> DataF
 def gap_detail(profile: DataFrame, gap: str, occupation: str, k: int = 30) -> DataFrame:
     """One kind of gap of one occupation."""
     rows = profile.where((F.col("gap_direction") == gap) & (F.col("occupation_title") == occupation))
-    first = top_k(rows, [down("posting_mention_count"), up("skill_name")], k)
+    order = ["skill_name", "onet_commodity_title", "onet_is_hot_technology"]
+    first = top_k(rows, [down("posting_mention_count"), *[up(c) for c in order]], k)
     return first.select(
         "skill_name", "posting_mention_count", "posting_pct_of_postings", "onet_is_hot_technology",
         "onet_is_in_demand",
