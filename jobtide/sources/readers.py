@@ -160,9 +160,9 @@ def read_csv_clean(spark: SparkSession, path: str, names: Sequence[str],
         path, schema=schema, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad",
         multiLine=multi_line, quote='"', escape='"',
     )
-    # Spark refuses to scan for the reject column alone, as a bare count would; so the split also
-    # looks at a data column, with a condition that always holds.
-    touched = F.coalesce(F.length(f"`{names[0]}`"), F.lit(0)) >= 0
+    # A scan that is pruned to some of the fields does not notice missing or surplus ones. The
+    # split therefore looks at all of them, with a condition that always holds.
+    touched = F.length(F.concat_ws("", *[f"`{n}`" for n in names])) >= 0
     good = raw.where(F.col("_bad").isNull() & touched).select(
         *[F.regexp_replace(F.col(f"`{n}`"), "\u0000", "").alias(n) for n in names]
     )
