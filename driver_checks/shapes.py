@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobtide.fixed_values import LINKEDIN, LINKEDIN_LARGE, LIVE, MACRO_SERIES, METRO_KEY, METRO_VARIABLES
 from jobtide.operators.joins import match_titles
@@ -16,8 +17,15 @@ from jobtide.plans import dimensions
 from jobtide.plans.postings import title_to_soc
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan of a fixture table. The schema is read from the footer once per path."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def source_of(status: str) -> Column:

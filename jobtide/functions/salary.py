@@ -46,14 +46,25 @@ def annualise(amount: Column, period: Column) -> Column:
     return amount * per_year(period)
 
 
-def salary_estimate(low: Column, mid: Column, high: Column, period: Column, currency: Column) -> Column:
-    """Best single annual figure in dollars, NULL outside the credible band or in other currencies.
+def best_estimate(low: Column, mid: Column, high: Column, period: Column) -> Column:
+    """Best single annual figure: the middle amount, else the mean of low and high, else the one there is.
 
-    The middle amount counts if stated, else the mean of low and high, else the one that is there.
     All three cases are the mean of two amounts (equal ones where only one counts), which keeps
     the period out of four separate branches and the generated code small.
     """
     first, second = F.coalesce(mid, low, high), F.coalesce(mid, high, low)
-    best = (annualise(first, period) + annualise(second, period)) / 2.0
-    credible = best.between(LOWEST_ANNUAL, HIGHEST_ANNUAL) & (F.upper(currency) == "USD")
-    return F.when(credible, best)
+    return (annualise(first, period) + annualise(second, period)) / 2.0
+
+
+def in_dollars(currency: Column) -> Column:
+    return F.upper(currency) == "USD"
+
+
+def credible(annual: Column) -> Column:
+    return annual.between(LOWEST_ANNUAL, HIGHEST_ANNUAL)
+
+
+def salary_estimate(low: Column, mid: Column, high: Column, period: Column, currency: Column) -> Column:
+    """Annual dollar estimate, NULL outside the credible band or in other currencies."""
+    best = best_estimate(low, mid, high, period)
+    return F.when(credible(best) & in_dollars(currency), best)

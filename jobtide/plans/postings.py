@@ -9,7 +9,7 @@ from jobtide.fixed_values import DATA_SCIENCE, LINKEDIN, LINKEDIN_LARGE
 from jobtide.functions.dates import from_epoch_ms, safe_date
 from jobtide.functions.labels import location_match
 from jobtide.functions.numbers import rounded_int
-from jobtide.functions.salary import correct_period, salary_estimate
+from jobtide.functions.salary import best_estimate, correct_period, credible, in_dollars
 from jobtide.functions.text import norm, not_blank, place_part, soc_code, trimmed
 from jobtide.operators.groups import agg_distinct_list
 from jobtide.operators.joins import geo_match, left_chain, resolve_codes
@@ -43,14 +43,18 @@ def title_to_soc(alternate_titles: DataFrame, occupations: DataFrame) -> DataFra
 
 
 def linkedin_salaries(salaries: DataFrame) -> DataFrame:
-    """Credible annual dollar estimates, one row per salary row."""
+    """Credible annual dollar estimates, one row per salary row that has one."""
     observed = F.coalesce("med_salary", "max_salary", "min_salary")
-    estimate = salary_estimate(
+    estimate = best_estimate(
         F.col("min_salary"), F.col("med_salary"), F.col("max_salary"),
-        correct_period(observed, F.col("pay_period")), F.col("currency"),
+        correct_period(observed, F.col("pay_period")),
     )
-    estimated = salaries.select("job_id", rounded_int(estimate).alias("annual_salary_estimate"))
-    return estimated.where(F.col("annual_salary_estimate").isNotNull())
+    # As a filter the long estimate would be evaluated several times per row, in code too large
+    # for the JIT compiler; inside the array it is evaluated once.
+    kept = F.explode(F.filter(F.array(estimate), credible)).alias("estimate")
+    dollars = salaries.where(in_dollars(F.col("currency")))
+    return dollars.select("job_id", kept).select(
+        "job_id", rounded_int(F.col("estimate")).alias("annual_salary_estimate"))
 
 
 def linkedin_enriched(postings: DataFrame, salaries: DataFrame, job_skills: DataFrame,
