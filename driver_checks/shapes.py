@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobtide.fixed_values import LINKEDIN, LINKEDIN_LARGE, LIVE, MACRO_SERIES, METRO_KEY, METRO_VARIABLES
+from jobtide.functions.text import soc_code
 from jobtide.operators.joins import match_titles
 from jobtide.plans import dimensions
 from jobtide.plans.postings import title_to_soc
@@ -403,6 +404,17 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return title_to_soc(alternate_titles(spark, sf_dir), occupations(spark, sf_dir))
 
 
+def title_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The titles of :func:`titles` that postings have, straight from the nations."""
+    segments = F.explode(F.array(*[F.lit(x) for x in ("automobile", "building", "furniture")]))
+    code = nation_code()
+    return table(spark, sf_dir, "nation").select("*", segments.alias("segment")).select(
+        F.lower(F.concat_ws(" ", "segment", "n_name")).alias("title_lower"),
+        code.alias("onet_soc_code"),
+        soc_code(code).alias("soc_code"),
+    )
+
+
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as the postings fact."""
     priority = F.col("o_orderpriority")
@@ -420,7 +432,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif(F.col("r_name"), F.lit("AFRICA")).alias("state"),
         F.col("n_name").alias("city"),
     )
-    return match_titles(rows, titles(spark, sf_dir))
+    return match_titles(rows, title_lookup(spark, sf_dir))
 
 
 def skills(spark: SparkSession, sf_dir: str) -> DataFrame:

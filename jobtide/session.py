@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
+    # Recording the Python call site of every Column takes longer than planning the query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
