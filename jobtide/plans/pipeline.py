@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from jobtide.plans import dimensions, facts, marts, postings, quality, reports
 from jobtide.session import build_session
+from jobtide.sources.landing import (
+    land_api_payloads, land_csv_files, land_occupation_files,
+)
 from jobtide.sources.readers import bronze, built_in_seeds, read_seed
 from jobtide.sources.writers import export_csv, save
 
@@ -152,15 +155,34 @@ def run(spark: SparkSession, raw_root: str, out: str, as_of: dt.date | None = No
     return done
 
 
+def land(spark: SparkSession, raw_root: str, api: str | None = None, occupations: str | None = None,
+         files: str | None = None) -> None:
+    """Bring fetched files into the raw layout; each folder is optional."""
+    if api:
+        land_api_payloads(spark, api, raw_root)
+    if occupations:
+        land_occupation_files(spark, occupations, raw_root)
+    if files:
+        land_csv_files(spark, files, raw_root)
+
+
 def main(argv: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(description="Build all tables from a raw folder.")
+    parser = argparse.ArgumentParser(description="Land fetched files and build all tables.")
+    parser.add_argument("mode", choices=["land", "build", "all"])
     parser.add_argument("raw", help="folder with the raw parquet files and seeds")
     parser.add_argument("out", help="folder the layers are written to")
+    parser.add_argument("--api", help="folder with the JSON answers of the four interfaces")
+    parser.add_argument("--occupations", help="folder with the tab-separated occupation files")
+    parser.add_argument("--files", help="folder with downloaded CSV files")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     parser.add_argument("--export", action="store_true", help="also write the marts as CSV")
     parser.add_argument("--master", default=None)
     args = parser.parse_args(argv)
-    run(build_session(master=args.master), args.raw, args.out, args.as_of, args.export)
+    spark = build_session(master=args.master)
+    if args.mode in ("land", "all"):
+        land(spark, args.raw, args.api, args.occupations, args.files)
+    if args.mode in ("build", "all"):
+        run(spark, args.raw, args.out, args.as_of, args.export)
 
 
 if __name__ == "__main__":

@@ -1,7 +1,8 @@
 """Raw feeds to flat tables.
 
 JSON payloads that span lines and CSV with quoted line breaks cannot be split inside a file, so
-there the file is the unit of parallel work; feeds land as many files of a few megabytes.
+there the file is the unit of parallel work; feeds land as many files of a few megabytes. All
+other CSV, TSV and Parquet is read in splits.
 """
 
 from __future__ import annotations
@@ -148,13 +149,25 @@ METRO_CODES = [code for _, _, code in METRO_BRIDGE]
 # --- CSV and TSV --------------------------------------------------------------------------
 
 
+def spans_lines(spark: SparkSession, path: str) -> bool:
+    """Whether some quoted field of a CSV holds a line break.
+
+    Such a field leaves an odd number of quotes on its first line; without any odd line every
+    record is one line and the file can be split. The check itself reads the file in splits.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
 def read_csv_clean(spark: SparkSession, path: str, names: Sequence[str],
-                   multi_line: bool = True, header: bool = True) -> tuple[DataFrame, DataFrame]:
+                   multi_line: bool | None = None, header: bool = True) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected raw lines) of a CSV whose fields are ``names`` in this order.
 
     Rows with too few or too many fields are rejected, NUL bytes removed, undecodable bytes
-    replaced. Turn ``multi_line`` off for files without quoted line breaks: they can be split.
+    replaced. Unless ``multi_line`` is given, the file decides whether it can be split.
     """
+    if multi_line is None:
+        multi_line = spans_lines(spark, path)
     schema = columns(string=list(names)).add("_bad", T.StringType())
     raw = spark.read.csv(
         path, schema=schema, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad",
@@ -207,7 +220,8 @@ def csv_to_parquet(spark: SparkSession, folder: str, out: str,
         if name in skip:
             continue
         stem = relative.removesuffix(".csv")
-        table = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True)
+        table = spark.read.csv(
+            path, header=True, quote='"', escape='"', multiLine=spans_lines(spark, path))
         if table.isEmpty():
             continue
         typed(table, (schemas or {}).get(stem.rsplit("/", 1)[-1])).write.mode("overwrite").option(

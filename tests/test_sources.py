@@ -7,6 +7,7 @@ import os
 
 import pytest
 
+from jobtide.plans import pipeline
 from jobtide.sources import readers, writers
 from jobtide.sources.catalog import BRONZE, SEED_BRONZE
 from jobtide.streaming.landing import land_live_postings
@@ -99,6 +100,37 @@ def test_csv_to_parquet(spark, tmp_path):
         os.listdir(f"{tmp_path}/out/{written[0]}"))
 
 
+def test_line_breaks_decide_about_splitting(spark, tmp_path):
+    plain = write(f"{tmp_path}/a.csv", 'id,name\n1,"x ""y"""\n')
+    broken = write(f"{tmp_path}/b.csv", 'id,name\n1,"x\ny"\n')
+    assert not readers.spans_lines(spark, plain)
+    assert readers.spans_lines(spark, broken)
+    good, _ = readers.read_csv_clean(spark, broken, ["id", "name"])
+    assert good.first()["name"] == "x\ny"
+
+
+def test_landing_fills_the_raw_layout(spark, tmp_path):
+    api, raw = f"{tmp_path}/api", f"{tmp_path}/raw"
+    write(f"{api}/adzuna/adzuna_x_all_20260301.json", json.dumps([POSTING]))
+    write(f"{api}/bls/bls_2023_2026.json", json.dumps({"Results": {"series": [
+        {"seriesID": "A", "data": [{"year": "2024", "period": "M01", "value": "4"}]}]}}))
+    write(f"{api}/fred/fred_series.json", json.dumps({"series_ids": ["DFF"], "data": {"2024-01-01": {"DFF": 5}}}))
+    write(f"{api}/acs/acs.json", json.dumps([["NAME", "DP03_0062E", readers.METRO_KEY],
+                                             ["Austin", "90000", "12420"], ["Else", "1", "99999"]]))
+    write(f"{tmp_path}/onet/Job Zones.txt", "O*NET-SOC Code\tTitle\tJob Zone\n15-1252.00\tDev\t4\n")
+    write(f"{tmp_path}/onet/Unused.txt", "x\n")
+    write(f"{tmp_path}/csv/kaggle/linkedin_jobs/mappings/linkedin_mapping_skills.csv", "skill_abr,skill_name\nIT,Tech\n")
+    pipeline.land(spark, raw, api, f"{tmp_path}/onet", f"{tmp_path}/csv")
+    names = ["stg_adzuna__postings", "stg_bls__series", "stg_fred__series", "stg_acs__metro_profiles",
+             "stg_onet__job_zones", "stg_kaggle_linkedin__mapping_skills"]
+    tables = readers.bronze(spark, raw, names)
+    assert {n: df.count() for n, df in tables.items()} == dict.fromkeys(names, 1)
+    assert tables["stg_adzuna__postings"].first()["location.display_name"] == "Austin, Texas"
+    assert tables["stg_fred__series"].first()["DFF"] == 5.0
+    assert tables["stg_onet__job_zones"].first()["Job Zone"] == 4
+    assert tables["stg_acs__metro_profiles"].first()["DP03_0062E"] == "90000"
+
+
 def test_tsv(spark, tmp_path):
     path = write(f"{tmp_path}/t.txt", "Code\tTitle\n1\ta, b\n")
     assert [tuple(r) for r in readers.read_tsv(spark, path).collect()] == [("1", "a, b")]
