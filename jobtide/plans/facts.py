@@ -120,13 +120,14 @@ def labor_observations(series: DataFrame) -> DataFrame:
 
 def macro_indicators(wide: DataFrame) -> DataFrame:
     """Macro series from a column per series to a row per date and series."""
-    long = to_long(wide, ["date"], [s for s, _ in MACRO_SERIES], "series_id", "value")
-    present = long.where(F.col("value").isNotNull() & F.col("date").isNotNull())
+    series = [s for s, _ in MACRO_SERIES]
+    # The date is read once per row here, not once per series behind the unpivot.
+    dated = wide.where(F.col("date").isNotNull()).select(
+        safe_date(F.col("date")).alias("observation_date"), *series)
+    long = to_long(dated, ["observation_date"], series, "series_id", "value")
     names = inline_mapping(wide.sparkSession, MACRO_SERIES, ["series_id", "series_name"])
     day = F.col("observation_date")
-    return lookup_or_self(
-        present.withColumn("observation_date", safe_date(F.col("date"))), names, "series_id", "series_name"
-    ).select(
+    return lookup_or_self(long.where(F.col("value").isNotNull()), names, "series_id", "series_name").select(
         day,
         year_of(day).alias("obs_year"),
         month_of(day).alias("obs_month"),

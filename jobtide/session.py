@@ -13,7 +13,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
     # Recording the Python call site of every Column takes longer than planning the query.
