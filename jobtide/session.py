@@ -6,7 +6,8 @@ from pyspark.sql import SparkSession
 
 # Adaptive execution does the run-time sizing: it coalesces small shuffle partitions, splits
 # skewed join partitions (also where that costs one more shuffle) and turns a sort-merge join
-# into a broadcast join only after the finished shuffle has shown the side to be small.
+# into a broadcast join only after the finished shuffle has shown the side to be small. The
+# broadcast threshold stays at Spark's default: file sizes understate what a table takes in memory.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
