@@ -429,7 +429,8 @@ w AS (
 SELECT w.* EXCLUDE t, total AS total_postings_that_month,
   round(distinct_postings / total, 6) AS pct_of_postings,
   {_change('mention_count', 'prev_month_mentions')} AS mom_change_pct,
-  coalesce(mention_count >= 10 AND mention_count / prev_month_mentions - 1 > 0.1, false) AS is_trending,
+  coalesce(mention_count >= 10 AND (mention_count - prev_month_mentions) / prev_month_mentions > 0.1, false)
+    AS is_trending,
   year(report_month) AS year, month(report_month) AS month_num
 FROM w JOIN (SELECT m AS report_month, count(DISTINCT pid) AS total FROM posts GROUP BY 1) USING (report_month)
 WHERE t >= 50 AND mention_count >= 5""",
