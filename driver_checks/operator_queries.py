@@ -626,7 +626,7 @@ SELECT l_suppkey, string_agg(DISTINCT upper(p_brand), ', ' ORDER BY upper(p_bran
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""")
 def sorted_distinct(spark, d):
     return groups.agg_sorted_distinct(
-        s._lines_with_parts(spark, d), "l_suppkey", F.upper("p_brand"), "brands")
+        s.lines_with_parts(spark, d), "l_suppkey", F.upper("p_brand"), "brands")
 
 
 @query("""
@@ -634,7 +634,7 @@ SELECT l_suppkey, list_sort(list(DISTINCT p_type) FILTER (p_type <> 'PROMO')) AS
 FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type <> 'PROMO' GROUP BY 1""")
 def distinct_list(spark, d):
     return groups.agg_distinct_list(
-        s._lines_with_parts(spark, d), "l_suppkey", F.nullif("p_type", F.lit("PROMO")), "types")
+        s.lines_with_parts(spark, d), "l_suppkey", F.nullif("p_type", F.lit("PROMO")), "types")
 
 
 _RANKED = """
@@ -644,12 +644,12 @@ FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_suppkey, p_name"""
 
 @query(f"SELECT l_suppkey, string_agg(p_name, ', ' ORDER BY r) AS best FROM ({_RANKED}) WHERE r <= 5 GROUP BY 1")
 def top_names(spark, d):
-    return groups.agg_top_names(s._lines_with_parts(spark, d), "l_suppkey", "p_name", 5, "best")
+    return groups.agg_top_names(s.lines_with_parts(spark, d), "l_suppkey", "p_name", 5, "best")
 
 
 @query(f"SELECT l_suppkey, p_name AS favourite FROM ({_RANKED}) WHERE r = 1")
 def mode_per_group(spark, d):
-    return groups.mode_per_group(s._lines_with_parts(spark, d), "l_suppkey", "p_name", "favourite")
+    return groups.mode_per_group(s.lines_with_parts(spark, d), "l_suppkey", "p_name", "favourite")
 
 
 @query("""

@@ -210,21 +210,21 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lines_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lines_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey"), "l_partkey"
     )
 
 
 def company_industries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines_with_parts(spark, sf_dir).select(
+    return lines_with_parts(spark, sf_dir).select(
         F.col("l_suppkey").alias("company_id"), F.concat(F.lit(" "), "p_brand").alias("industry")
     )
 
 
 def company_specialties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part types of the large lines; small lines have a blank."""
-    return _lines_with_parts(spark, sf_dir).select(
+    return lines_with_parts(spark, sf_dir).select(
         F.col("l_suppkey").alias("company_id"),
         F.when(F.col("l_quantity") > 49, F.col("p_type")).otherwise(" ").alias("speciality"),
     )
@@ -437,7 +437,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def skills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as the posting × skill fact."""
-    return _lines_with_parts(spark, sf_dir).select(
+    return lines_with_parts(spark, sf_dir).select(
         text_of("l_orderkey").alias("posting_id"),
         F.lower("p_name").alias("skill_name"),
         source_of("l_linestatus").alias("data_source"),
