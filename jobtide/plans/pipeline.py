@@ -152,6 +152,8 @@ def run(spark: SparkSession, raw_root: str, out: str, as_of: dt.date | None = No
     if export:
         for name, order in export_orders().items():
             export_csv(done[name], f"{out}/export/{name}", order)
+        for name, report in reports.diagnostics(done).items():
+            export_csv(report, f"{out}/diagnostics/{name}")
     return done
 
 
@@ -175,7 +177,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--occupations", help="folder with the tab-separated occupation files")
     parser.add_argument("--files", help="folder with downloaded CSV files")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
-    parser.add_argument("--export", action="store_true", help="also write the marts as CSV")
+    parser.add_argument("--export", action="store_true", help="also write marts and diagnostics as CSV")
     parser.add_argument("--master", default=None)
     args = parser.parse_args(argv)
     spark = build_session(master=args.master)

@@ -209,3 +209,23 @@ def category_series(economic: DataFrame, category: str) -> DataFrame:
     return economic.where(F.col("category") == category).select(
         "series_name", "report_month", "value"
     ).orderBy(up("series_name"), up("report_month"))
+
+
+def diagnostics(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """R1–R11 over the built tables, by the name of the file each one is exported to."""
+    marts = {name: df for name, df in tables.items() if name.startswith("gold_")}
+    economic, roles = marts["gold_economic_dashboard"], marts["gold_role_analysis"]
+    demand, profile = marts["gold_skills_demand"], marts["gold_occupation_skills_profile"]
+    return {
+        "00_row_counts": mart_row_counts(marts),
+        "01_market_snapshot": snapshot_by_volume(marts["gold_market_snapshot"]),
+        "02_market_trends": trends_by_source(marts["gold_market_trends"]),
+        "03_economic_summary": series_summary(economic),
+        "04_role_analysis": role_table(roles),
+        "05_role_top_skills": leading_role_skills(marts["gold_role_top_skills"], roles),
+        "06_skills_demand_top30": leading_skills(demand),
+        "07_skills_quality_check": suspected_non_skills(demand),
+        "08_metro_comparison": metro_table(marts["gold_metro_comparison"]),
+        "09_skills_gap_summary": gap_summary(profile),
+        "10_emerging_market_only_skills": emerging_skills(profile),
+    }

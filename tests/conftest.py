@@ -24,10 +24,6 @@ def rows(spark):
     return lambda data, schema: spark.createDataFrame(data, schema)
 
 
-def as_set(df, *columns):
-    return {tuple(r[c] for c in columns) for r in df.collect()}
-
-
 @pytest.fixture
 def result():
     """Collected rows as a sorted list of tuples; NULLs sort first."""

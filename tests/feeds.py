@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import os
 
-from jobtide.fixed_values import MACRO_SERIES, METRO_KEY, METRO_VARIABLES
+from jobtide.fixed_values import MACRO_SERIES, METRO_VARIABLES
 from jobtide.sources.catalog import BRONZE
 
 DEV, SCI = "15-1252.00", "15-2051.00"
@@ -167,5 +167,3 @@ def write_raw(spark, root: str) -> str:
             csv.writer(out, delimiter=sep).writerows(lines)
     return root
 
-
-__all__ = ["write_raw", "DEV", "SCI", "METRO_KEY"]

@@ -209,6 +209,22 @@ def test_exports_are_sorted_csv(tables, run_dir):
     assert totals == [19, 11, 9, 4]
 
 
+def test_diagnostics(tables, run_dir):
+    def lines(name):
+        found = []
+        for path in sorted(glob.glob(f"{run_dir}/out/diagnostics/{name}/*.csv")):
+            with open(path) as part:
+                found += list(csv.DictReader(part))
+        return found
+
+    counts = {r["model"]: int(r["rows"]) for r in lines("00_row_counts")}
+    assert counts["gold_market_snapshot"] == 4 and len(counts) == 8
+    assert [r["skill_name"] for r in lines("05_role_top_skills")] == ["problem solving", "python", "sql", "go"]
+    assert [r["entries"] for r in lines("09_skills_gap_summary")] == ["3", "3", "1"]
+    assert lines("10_emerging_market_only_skills")[0]["skill_name"] == "problem solving"
+    assert len(glob.glob(f"{run_dir}/out/diagnostics/*")) == 11
+
+
 def test_marts_push_filters_and_prune_columns(spark, tables):
     from jobtide.plans import marts
     roles = marts.qualified_roles(tables["fct_job_postings"])
