@@ -179,8 +179,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     parser.add_argument("--export", action="store_true", help="also write marts and diagnostics as CSV")
     parser.add_argument("--master", default=None)
+    parser.add_argument("--partitions", default="200",
+                        help="shuffle partitions to start with; adaptive execution merges small ones")
     args = parser.parse_args(argv)
-    spark = build_session(master=args.master)
+    spark = build_session(master=args.master, **{
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": args.partitions})
     if args.mode in ("land", "all"):
         land(spark, args.raw, args.api, args.occupations, args.files)
     if args.mode in ("build", "all"):
