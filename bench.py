@@ -17,11 +17,11 @@ from driver_checks.report_queries import QUERIES as REPORTS
 from driver_checks.table_queries import QUERIES as TABLES
 from jobtide.session import build_session
 
-# All tables, and the operators and reports that are not already part of one.
+# Tables that only repeat another one's plan on other columns are left out.
+REPEATED = {"dim_knowledge", "dim_work_activities", "live_enriched_one_match"}
 HEADLINE = [
-    *TABLES,
-    "exact_percentiles", "explode_words", "noise_filter", "unpivot_series", "inner_on_four_keys",
-    "report_leading_skills", "report_gap_summary", "quality_report",
+    *[name for name in TABLES if name not in REPEATED],
+    "exact_percentiles", "explode_words", "noise_filter", "unpivot_series", "quality_report",
 ]
 
 
