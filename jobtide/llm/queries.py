@@ -6,22 +6,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.llm.common import read
+from jobtide.llm.decontaminate import contamination
+from jobtide.llm.mixing import mixed_sizes
 from jobtide.llm.repeats import remove_repeats
+from jobtide.llm.secrets import BASE, find_secrets, span_text
 from jobtide.llm.simhash import simhash_classes
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), n=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(read(spark, sf_dir, "documents"), k=35)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_sizes(read(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3.0).drop("source")
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(read(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("found", lambda f: f["kind"] == kind)).cast("bigint")
+    base = F.filter("found", lambda f: f["kind"].isin(*BASE))
+    return found.select("doc_id", *[count(kind).alias(f"n_{kind}") for kind in BASE],
+                        F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash_classes(read(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_mixing": op4_mixing,
+    "op6_secrets": op6_secrets,
     "op8_simhash": op8_simhash,
 }
 
