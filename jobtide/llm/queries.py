@@ -11,6 +11,10 @@ from jobtide.llm.mixing import mixed_sizes
 from jobtide.llm.repeats import remove_repeats
 from jobtide.llm.secrets import BASE, find_secrets, span_text
 from jobtide.llm.simhash import simhash_classes
+from jobtide.llm.tokens import tokenized
+from jobtide.llm.topk import nearest
+
+TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +33,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(read(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3.0).drop("source")
 
 
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokenized(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=1)
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(read(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("found", lambda f: f["kind"] == kind)).cast("bigint")
@@ -37,6 +47,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"))
 
 
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash_classes(read(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -46,7 +60,9 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
     "op4_mixing": op4_mixing,
+    "op5_token_output": op5_token_output,
     "op6_secrets": op6_secrets,
+    "op7_exact_topk": op7_exact_topk,
     "op8_simhash": op8_simhash,
 }
 
