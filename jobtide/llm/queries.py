@@ -13,6 +13,7 @@ from jobtide.llm.secrets import BASE, find_secrets, span_text
 from jobtide.llm.simhash import simhash_classes
 from jobtide.llm.tokens import tokenized
 from jobtide.llm.topk import nearest
+from jobtide.llm.warc import archived
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -29,6 +30,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A shard is the work of one task; 16 MB of payload keep many at work on tables of this size.
+    records = archived(read(spark, sf_dir, "pages"), shard_bytes=16 << 20, roll_bytes=4 << 20)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(read(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3.0).drop("source")
 
@@ -59,6 +66,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_warc": op3_warc,
     "op4_mixing": op4_mixing,
     "op5_token_output": op5_token_output,
     "op6_secrets": op6_secrets,
