@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobtide.llm import language, toxicity
 from jobtide.llm.common import read
 from jobtide.llm.decontaminate import contamination
 from jobtide.llm.mixing import mixed_sizes
@@ -63,6 +64,20 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.fit(read(spark, sf_dir, "documents"))
+    pages = language.page_evidence(read(spark, sf_dir, "pages"))
+    found = language.identify(pages, model, ["page_id"], "_body", "_said", "_end", "_site", "_zone")
+    return found.select("page_id", "language", F.round("score", 6).alias("score"), "text_language", "trigrams")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -72,6 +87,8 @@ QUERIES = {
     "op6_secrets": op6_secrets,
     "op7_exact_topk": op7_exact_topk,
     "op8_simhash": op8_simhash,
+    "op9_toxicity": op9_toxicity,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE: dict[str, str] = {}
