@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import saved
+from jobtide.llm.common import row_hash, saved
 
 BUCKETS = 1 << 15
 NONE = "und"  # no language: letters without order
@@ -173,3 +173,15 @@ def page_evidence(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
     said = F.lower(F.regexp_extract(markup, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", 1))
     return pages.withColumns({"_body": body, "_said": blank(said), "_end": F.coalesce(blank(end), blank(step)),
                               "_site": blank(site), "_zone": blank(F.regexp_extract(site, r"([^.]+\.[^.]+)$", 1))})
+
+
+def keep_known(docs: DataFrame, model: tuple[list[str], np.ndarray], declared: str, host: str,
+               doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents whose language is one of the model's, columns as they are: neither without letters nor like none."""
+    row_a, row_b = row_hash(doc_id, text)
+    keyed = docs.withColumns({"_llm_a": row_a, "_llm_b": row_b})
+    evidence = keyed.select("_llm_a", "_llm_b", F.col(text).alias("_body"), F.col(declared).alias("_said"),
+                            F.col(host).alias("_site"), F.lit(None).cast("string").alias("_none"))
+    found = identify(evidence, model, ["_llm_a", "_llm_b"], "_body", "_said", "_none", "_site", "_none")
+    known = found.where((F.col("trigrams") > 0) & (F.col("language") != NONE)).select("_llm_a", "_llm_b").distinct()
+    return keyed.join(known, ["_llm_a", "_llm_b"], "left_semi").drop("_llm_a", "_llm_b")
