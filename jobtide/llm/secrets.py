@@ -67,11 +67,11 @@ def matches(text: str, pattern: str) -> str:
 def max_entropy(value: str, kind: CharClass) -> str:
     """SQL: the highest Shannon entropy of a window of ``kind.width`` characters in a string of the class."""
     alphabet, w = _quoted(kind.alphabet), kind.width
-    f = lambda c: f"if({c} > 1, {c} * log2({c}), 0D)"
+    f = lambda c: f"if(({c}) > 1, ({c}) * log2({c}), 0D)"
     # Place of the character that comes in, and of the one that goes out (0: none yet).
     came, went = f"locate(substr({value}, i, 1), {alphabet})", f"if(i > {w}, locate(substr({value}, i - {w}, 1), {alphabet}), 0)"
-    plus = f"element_at(s.counts, x.came)"
-    minus = f"if(x.went = 0, 0D, element_at(s.counts, x.went))"
+    plus = "element_at(s.counts, x.came)"
+    minus = "element_at(s.counts, x.went)"
     moved = (f"s.sum + if(x.came = x.went, 0D, {f(plus + ' + 1')} - {f(plus)}"
              f" + if(x.went = 0, 0D, {f(minus + ' - 1')} - {f(minus)}))")
     step = ("named_struct('counts', transform(s.counts, (c, j) -> c + if(j + 1 = x.came, 1D, 0D) - if(j + 1 = x.went, 1D, 0D)),"

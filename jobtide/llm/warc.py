@@ -209,12 +209,13 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
         number = lambda text: int(text) if text else None
         system, path = file_system(folder)
         for batch in batches:
-            for name in batch.column(0):
-                rows, held = [], 0
+            for name, records in zip(batch.column(0), batch.column(1)):
+                rows, held, count = [], 0, 0
                 with system.open_input_stream(f"{path}/{name.as_py()}", compression=None) as stream:
                     for headers, block in map(_parsed, _members(stream)):
                         if headers["WARC-Type"] == "warcinfo":
                             continue
+                        count += 1
                         http, _, payload = block.partition(b"\r\n\r\n")
                         size = int(dict(x.split(": ", 1) for x in http.decode().split("\r\n")[1:])["Content-Length"])
                         said, revisit = headers["WARC-Payload-Digest"].removeprefix("sha1:"), headers["WARC-Type"] == "revisit"
@@ -226,10 +227,12 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
                         if held > 4 * CHUNK or len(rows) >= 2000:
                             yield table(rows)
                             rows, held = [], 0
+                if count != records.as_py():
+                    raise ValueError(f"{name}: {count} records, {records} in the manifest")
                 if rows:
                     yield table(rows)
 
-    return listed.select("file").repartition(files).mapInArrow(
+    return listed.select("file", "records").repartition(files).mapInArrow(
         run, "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string,"
              " refers_to bigint, payload binary")
 
