@@ -105,7 +105,7 @@ def hypergeometric(df: DataFrame) -> DataFrame:
 
 def split_quotas(counts: DataFrame, sources: int, depth: int, seed: int) -> DataFrame:
     """(shard, rank, n): the instances of each source (rank, n) that each of 2**depth shards gets."""
-    quotas = counts.select(F.lit(0).cast("bigint").alias("shard"), "rank", "n")
+    quotas = saved(counts.select(F.lit(0).cast("bigint").alias("shard"), "rank", "n"), "quotas")
     levels = max(1, math.ceil(math.log2(max(sources, 2))))
     for level in range(depth):
         here = (quotas.groupBy("shard").agg(F.sum("n").alias("population"))

@@ -9,6 +9,7 @@ from jobtide.llm import language, toxicity
 from jobtide.llm.common import read
 from jobtide.llm.decontaminate import contamination
 from jobtide.llm.mixing import mixed_sizes
+from jobtide.llm.oracle import ORACLE  # noqa: F401
 from jobtide.llm.repeats import remove_repeats
 from jobtide.llm.secrets import BASE, find_secrets, span_text
 from jobtide.llm.simhash import simhash_classes
@@ -90,5 +91,3 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
 }
-
-ORACLE: dict[str, str] = {}
