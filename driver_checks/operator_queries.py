@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -14,6 +13,7 @@ from jobtide.functions import dates, labels, numbers, salary, text
 from jobtide.operators import groups, joins, reshape, windows
 from jobtide.plans import facts
 from jobtide.plans.marts import QUARTILES
+from jobtide.session import shared_folder
 from jobtide.sources import readers, writers
 
 QUERIES = {}
@@ -31,9 +31,8 @@ def query(sql: str | None = None):
 
 
 def scratch(spark) -> str:
-    """A new folder for files a query writes: in the cluster's shared folder if it names one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    """A new folder for files a query writes, where all executors see it."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 # --- readers and writers ------------------------------------------------------------------
@@ -102,16 +101,6 @@ def header_rows(spark, d):
         payload, ["NAME", "KEY", "NONE", "metro/segment"], keep=["BUILDING", "MACHINERY"])
 
 
-@query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
-def csv_to_parquet(spark, d):
-    folder = scratch(spark)
-    rows = s.table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    writers.export_csv(rows, f"{folder}/in/customer", [F.col("c_custkey")])
-    written = readers.csv_to_parquet(spark, f"{folder}/in", f"{folder}/out")
-    tables = [spark.read.parquet(f"{folder}/out/{name}") for name in written]
-    return reshape.union_sources(*tables).withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
-
-
 _CSV_LINES = """
 SELECT c_custkey::VARCHAR AS id, 'a, "b"' || c_name AS name, c_mktsegment AS segment, c_nationkey FROM customer"""
 
@@ -148,6 +137,26 @@ def csv_rejects(spark, d):
     return bad
 
 
+@query(f"""
+SELECT id, name, segment, NULL::VARCHAR AS "_bad" FROM ({_CSV_LINES}) WHERE c_nationkey NOT IN (3, 4)
+UNION ALL
+SELECT NULL, NULL, NULL, id || ',"a, ""b""' || name[7:] || '"' || if(c_nationkey = 4, ',' || segment || ',x', '')
+FROM ({_CSV_LINES}) WHERE c_nationkey IN (3, 4)""")
+def csv_to_parquet(spark, d):
+    folder = scratch(spark)
+    # Separator and quote that no line has: lines and header are written as they are.
+    lines = spark.read.text(_customer_csv(spark, d)).withColumnRenamed("value", "id,name,segment")
+    lines.write.csv(f"{folder}/in/customer", header=True, sep="\u0001", quote="\u0002", escape="\u0002",
+                    ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    written = readers.csv_to_parquet(spark, f"{folder}/in", f"{folder}/out")
+    good = [spark.read.parquet(f"{folder}/out/{name}") for name in written]
+    bad = [spark.read.parquet(f"{folder}/out/_rejects/{name}") for name, (_, n) in written.items() if n]
+    none = [F.lit(None).cast("string").alias(c) for c in ("id", "name", "segment")]
+    return reshape.union_sources(
+        *[t.select("*", F.lit(None).cast("string").alias("_bad")) for t in good],
+        *[t.select(*none, "_bad") for t in bad])
+
+
 @query("SELECT p_partkey::VARCHAR AS p_partkey, p_name, p_type FROM part")
 def tsv_round_trip(spark, d):
     folder = scratch(spark)
@@ -161,13 +170,11 @@ SELECT DISTINCT r_name AS state, n_name AS city, n_nationkey::VARCHAR AS cbsa_fi
 FROM customer, nation, region WHERE c_nationkey = n_nationkey AND n_regionkey = r_regionkey""")
 def seed_csv(spark, d):
     folder = scratch(spark)
-    seen = s.orders_with_places(spark, d).select(
-        F.col("r_name").alias("state"), F.col("n_name").alias("city"), F.col("n_nationkey").alias("cbsa_fips"))
-    everyone = s.table(spark, d, "customer").join(
+    places = s.table(spark, d, "customer").join(
         s.table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     ).join(s.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("r_name").alias("state"), F.col("n_name").alias("city"), F.col("n_nationkey").alias("cbsa_fips"))
-    seen.union(everyone).distinct().write.csv(f"{folder}/state_to_cbsa_bridge.csv", header=True)
+    places.distinct().write.csv(f"{folder}/state_to_cbsa_bridge.csv", header=True)
     return readers.read_seed(spark, folder, "state_to_cbsa_bridge")
 
 
@@ -600,6 +607,30 @@ def exact_percentiles(spark, d):
     return groups.exact_percentiles(rows, ["l_suppkey", "flag"], "v", QUARTILES)
 
 
+_PERCENTILES = ", ".join(f"round(quantile_cont(v, {p}), 2) AS {n}" for n, p in QUARTILES.items())
+
+
+def _rounded(df, keys):
+    found = groups.exact_percentiles(df, keys, "v", QUARTILES)
+    return found.select(*keys, *[numbers.round_to(F.col(n), 2).alias(n) for n in QUARTILES])
+
+
+@query(f"""
+SELECT l_suppkey, {_PERCENTILES} FROM (SELECT l_suppkey, l_extendedprice * (0.5 - l_discount * 10) AS v FROM lineitem)
+GROUP BY 1""")
+def percentiles_of_doubles(spark, d):
+    value = F.col("l_extendedprice") * (F.lit(0.5) - F.col("l_discount") * 10)
+    return _rounded(s.table(spark, d, "lineitem").select("l_suppkey", value.alias("v")), ["l_suppkey"])
+
+
+@query(f"""
+SELECT l_returnflag, {_PERCENTILES}
+FROM (SELECT l_returnflag, (l_orderkey::BIGINT - 500) * 3000000000 + l_linenumber AS v FROM lineitem) GROUP BY 1""")
+def percentiles_of_bigints(spark, d):
+    value = (F.col("l_orderkey").cast("bigint") - 500) * F.lit(3000000000) + F.col("l_linenumber")
+    return _rounded(s.table(spark, d, "lineitem").select("l_returnflag", value.alias("v")), ["l_returnflag"])
+
+
 @query("""
 SELECT l_suppkey, year(l_shipdate) AS year, max(l_quantity) FILTER (l_linestatus = 'F') AS closed,
   max(l_quantity) FILTER (l_linestatus = 'O' AND l_returnflag = 'A') AS open

@@ -62,10 +62,11 @@ rated AS (
 
 TOOLS = SUPPLIED + f""",
 tools AS (
-  SELECT DISTINCT code AS onet_soc_code, {capital('p_name')} AS technology_name,
+  SELECT DISTINCT code AS onet_soc_code,
+    {capital('p_name')} || CASE WHEN p_brand <> 'Brand#1' THEN ' ' || p_brand ELSE '' END AS technology_name,
     p_size::BIGINT AS commodity_code, p_type AS commodity_title,
     CASE WHEN p_size <= 40 THEN p_size > 20 END AS is_hot_technology, p_type = 'PROMO' AS is_in_demand
-  FROM supplied WHERE p_brand = 'Brand#1'
+  FROM supplied
 )"""
 
 OCCUPATIONS = f"""

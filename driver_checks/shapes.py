@@ -101,11 +101,11 @@ def ratings(spark: SparkSession, sf_dir: str, element: str = "p_name") -> DataFr
 
 
 def technology(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts of one brand as the tools of the nations that supply them."""
-    lines = lines_by_supplier_nation(spark, sf_dir).where(F.col("p_brand") == "Brand#1")
-    return lines.select(
+    """Parts as the tools of the nations that supply them; all but one brand go by a name of their own."""
+    own = F.when(F.col("p_brand") != "Brand#1", F.col("p_brand"))
+    return lines_by_supplier_nation(spark, sf_dir).select(
         "O*NET-SOC Code",
-        F.initcap("p_name").alias("Example"),
+        F.concat_ws(" ", F.initcap("p_name"), own).alias("Example"),
         F.col("p_size").cast("bigint").alias("Commodity Code"),
         F.concat(F.lit(" "), "p_type").alias("Commodity Title"),
         F.when(F.col("p_size") > 40, "?").when(F.col("p_size") > 20, "Y").otherwise("N").alias("Hot Technology"),
@@ -404,17 +404,6 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return title_to_soc(alternate_titles(spark, sf_dir), occupations(spark, sf_dir))
 
 
-def title_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The titles of :func:`titles` that postings have, straight from the nations."""
-    segments = F.explode(F.array(*[F.lit(x) for x in ("automobile", "building", "furniture")]))
-    code = nation_code()
-    return table(spark, sf_dir, "nation").select("*", segments.alias("segment")).select(
-        F.lower(F.concat_ws(" ", "segment", "n_name")).alias("title_lower"),
-        code.alias("onet_soc_code"),
-        soc_code(code).alias("soc_code"),
-    )
-
-
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as the postings fact."""
     priority = F.col("o_orderpriority")
@@ -432,7 +421,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif(F.col("r_name"), F.lit("AFRICA")).alias("state"),
         F.col("n_name").alias("city"),
     )
-    return match_titles(rows, title_lookup(spark, sf_dir))
+    return match_titles(rows, titles(spark, sf_dir))
 
 
 def skills(spark: SparkSession, sf_dir: str) -> DataFrame:

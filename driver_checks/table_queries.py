@@ -46,7 +46,7 @@ def role_analysis(spark, d):
 
 def role_top_skills(spark, d):
     return marts.role_top_skills(
-        joined(spark, d), marts.qualified_roles(s.postings(spark, d)), s.dim_occupations(spark, d),
+        marts.role_mentions(joined(spark, d)), marts.qualified_roles(s.postings(spark, d)), s.dim_occupations(spark, d),
         s.dim_skills(spark, d))
 
 
@@ -60,7 +60,7 @@ def metro_comparison(spark, d):
 
 def occupation_skills_profile(spark, d):
     return marts.occupation_skills_profile(
-        joined(spark, d), marts.qualified_roles(s.postings(spark, d)), s.dim_technology(spark, d),
+        marts.role_mentions(joined(spark, d)), marts.qualified_roles(s.postings(spark, d)), s.dim_technology(spark, d),
         s.dim_occupations(spark, d))
 
 

@@ -7,14 +7,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobtide.functions.dates import month_start
 from jobtide.functions.text import not_blank
 from jobtide.operators.joins import Keys, as_list, join_null_safe
 from jobtide.operators.windows import top_k_per_group
 
-# The low bits of a whole number, see exact_percentiles.
+# How values are cut into buckets, see exact_percentiles: the low bits of an INT, else splitters.
 _LOW_BITS = 16
+_SPLITTERS = 1024
+_ACCURACY = 20_000
 
 
 def group_stats(df: DataFrame, keys: Keys, **specs: Column) -> DataFrame:
@@ -27,24 +30,51 @@ def having(df: DataFrame, condition: Column) -> DataFrame:
     return df.where(condition)
 
 
+def distinct_count(df: DataFrame, keys: Keys, column: str | Column, name: str) -> DataFrame:
+    """Distinct non-NULL values per key, counted over spread (key, value) pairs.
+
+    Two of these joined on the key cost two map-side combined shuffles, where two distinct counts
+    in one aggregate would copy every row once per count first.
+    """
+    keys = as_list(keys)
+    value = F.col(column) if isinstance(column, str) else column
+    pairs = df.select(*keys, value.alias("__v")).where(F.col("__v").isNotNull()).distinct()
+    return group_stats(pairs, keys, **{name: F.count(F.lit(1))})
+
+
+def _with_buckets(counts: DataFrame, keys: list[str], kind: T.DataType) -> DataFrame:
+    """counts (keys, __v, __n) with a ``__bucket`` that rises with the value.
+
+    Whole numbers of 32 bits have 65,536 buckets of as many values. Other numbers have buckets
+    between 1,024 splitters of their group, approximate quantiles of its different values; they
+    only decide how evenly the values spread, never which rank a value has.
+    """
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
+        return counts.withColumn("__bucket", F.shiftright(F.col("__v").cast("int"), _LOW_BITS))
+    at = [i / _SPLITTERS for i in range(1, _SPLITTERS)]
+    splitters = group_stats(counts, keys, __at=F.array_distinct(F.percentile_approx("__v", at, _ACCURACY)))
+    joined = join_null_safe(counts, splitters, keys, "inner")
+    return joined.withColumn("__bucket", F.size(F.filter("__at", lambda x: x < F.col("__v")))).drop("__at")
+
+
 def exact_percentiles(df: DataFrame, keys: Keys, value: str,
                       probabilities: dict[str, float]) -> DataFrame:
-    """Exact, linearly interpolated percentiles of an INT column, one row per key.
+    """Exact, linearly interpolated percentiles of a numeric column, one row per key.
 
     ``percentile`` keeps all distinct values of a group in one buffer. Here no task ever holds
     a group: equal values are first counted (combined map-side, spread over (key, value)), a
-    histogram over the upper 16 bits finds the buckets that hold the wanted ranks, and only
-    those buckets are ranked, each on its own. Both windows see at most 65,536 rows.
-    Groups without a value are absent.
+    histogram over buckets of values finds those that hold the wanted ranks, and only they are
+    ranked, each on its own. Values keep their type until they are ranked; results are DOUBLE.
+    NaN ranks above all numbers. Groups without a value are absent.
     """
     keys = as_list(keys)
-    number = F.col(value).cast("int")
-    counts = (
+    kind = df.schema[value].dataType
+    if not isinstance(kind, T.NumericType):
+        raise TypeError(f"{value} is {kind.simpleString()}, not a number")
+    counts = _with_buckets(
         df.where(F.col(value).isNotNull())
-        .groupBy(*keys, number.alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__bucket", F.shiftright("__v", _LOW_BITS))
-    )
+        .groupBy(*keys, F.col(value).alias("__v"))
+        .agg(F.count(F.lit(1)).alias("__n")), keys, kind)
 
     by_group = Window.partitionBy(*keys)
     buckets = counts.groupBy(*keys, "__bucket").agg(F.sum("__n").alias("__in_bucket"))
@@ -80,10 +110,12 @@ def exact_percentiles(df: DataFrame, keys: Keys, value: str,
         *[F.max(F.when(holds(r, F.col("__start"), F.col("__n")), F.col("__v"))).cast("double").alias(n)
           for n, r in rank.items()],
     )
-    return found.select(*keys, *[
-        (F.col(f"{n}__lo") + (F.col(f"{n}__hi") - F.col(f"{n}__lo")) * (at - F.floor(at))).alias(n)
-        for n, at in position.items()
-    ])
+
+    def between(name: str, at: Column) -> Column:
+        low, high, part = F.col(f"{name}__lo"), F.col(f"{name}__hi"), at - F.floor(at)
+        return F.when(part == 0, low).otherwise(low + (high - low) * part).alias(name)
+
+    return found.select(*keys, *[between(n, at) for n, at in position.items()])
 
 
 def with_percentiles(stats: DataFrame, df: DataFrame, keys: Keys, value: str,

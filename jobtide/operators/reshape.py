@@ -31,9 +31,9 @@ def union_sources(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def dedup_keep_null(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    """First row per key, and every row that has no key."""
-    keyed = latest_per_key(df.where(F.col(key).isNotNull()), key, order)
+def dedup_keep_null(df: DataFrame, key: str, order: Sequence[Column], within: Sequence[str] = ()) -> DataFrame:
+    """First row per key (in each of ``within``), and every row that has no key."""
+    keyed = latest_per_key(df.where(F.col(key).isNotNull()), [*within, key], order)
     return keyed.unionByName(df.where(F.col(key).isNull()))
 
 

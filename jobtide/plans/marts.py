@@ -14,10 +14,10 @@ from jobtide.functions.labels import gap_direction, is_trending, series_category
 from jobtide.functions.numbers import count_where, gate, growth, round_to, rounded_int, safe_ratio
 from jobtide.functions.text import norm, not_blank
 from jobtide.operators.groups import (
-    group_stats, having, monthly, most_common, qualified, top_names, value_ranks, with_percentiles,
+    distinct_count, group_stats, having, monthly, most_common, qualified, top_names, value_ranks, with_percentiles,
 )
 from jobtide.operators.joins import (
-    attach_metro, attach_ratings, attach_totals, compare_sets, prefer_source,
+    attach_metro, attach_ratings, attach_totals, compare_sets, join_null_safe, prefer_source,
 )
 from jobtide.operators.windows import top_k_per_group, with_prev, yoy
 
@@ -62,13 +62,18 @@ def _share(part: str, name: str) -> Column:
 def market_snapshot(postings: DataFrame) -> DataFrame:
     """G1: one row per source: volume, time span, salaries, remote share, match rate."""
     keys = ["data_source", "is_snapshot"]
+    volume = _volume()
+    del volume["unique_companies"]
     stats = group_stats(
-        postings, keys, **_volume(),
+        postings, keys, **volume,
         earliest_posting=F.min("posted_at"),
         latest_posting=F.max("posted_at"),
-        distinct_months=F.countDistinct(month_start(F.col("posted_at"))),
         soc_matched_postings=count_where(_matched()),
     )
+    for column, name in ((F.col("company_name"), "unique_companies"),
+                         (month_start(F.col("posted_at")), "distinct_months")):
+        counted = distinct_count(postings, keys, column, name)
+        stats = join_null_safe(stats, counted, keys).withColumn(name, F.coalesce(name, F.lit(0)))
     return with_percentiles(stats, postings, keys, SALARY, QUARTILES).select(
         *keys, "total_postings", "unique_companies", "earliest_posting", "latest_posting",
         "distinct_months", "postings_with_salary", _salary("median_salary"), _salary("avg_salary"),
@@ -205,18 +210,19 @@ def qualified_roles(postings: DataFrame) -> DataFrame:
     )
 
 
-def _role_mentions(joined: DataFrame, name: str) -> DataFrame:
+def role_mentions(joined: DataFrame) -> DataFrame:
+    """Distinct postings per occupation and skill, for the two occupation skill marts."""
     return group_stats(
         joined.where(F.col("onet_soc_code").isNotNull()), ["onet_soc_code", "skill_name"],
-        **{name: F.countDistinct("posting_id")},
+        mention_count=F.countDistinct("posting_id"),
     )
 
 
-def role_top_skills(joined: DataFrame, roles: DataFrame, occupations: DataFrame,
+def role_top_skills(mentions: DataFrame, roles: DataFrame, occupations: DataFrame,
                     ratings: DataFrame) -> DataFrame:
     """The most mentioned skills per occupation; equal counts rank by name."""
-    mentions = having(_role_mentions(joined, "mention_count"), F.col("mention_count") >= MIN_ROLE_MENTIONS)
-    counted = mentions.join(roles, "onet_soc_code", "inner")
+    shown = having(mentions, F.col("mention_count") >= MIN_ROLE_MENTIONS)
+    counted = shown.join(roles, "onet_soc_code", "inner")
     best = top_k_per_group(
         counted, "onet_soc_code", [F.col("mention_count").desc(), F.col("skill_name").asc()],
         ROLE_SKILLS, rank="skill_rank",
@@ -300,7 +306,7 @@ def metro_comparison(postings: DataFrame, bridge: DataFrame, metros: DataFrame)
     )
 
 
-def occupation_skills_profile(joined: DataFrame, roles: DataFrame, technology: DataFrame,
+def occupation_skills_profile(mentions: DataFrame, roles: DataFrame, technology: DataFrame,
                               occupations: DataFrame) -> DataFrame:
     """Catalogued tools against demanded skills per occupation.
 
@@ -314,16 +320,16 @@ def occupation_skills_profile(joined: DataFrame, roles: DataFrame, technology: D
         F.col("is_in_demand").alias("onet_is_in_demand"),
         F.col("commodity_title").alias("onet_commodity_title"),
     ).join(roles.select("onet_soc_code"), "onet_soc_code", "left_semi")
-    demand = _role_mentions(joined, "posting_mention_count").join(
+    demand = mentions.withColumnRenamed("mention_count", "posting_mention_count").join(
         roles.select("onet_soc_code"), "onet_soc_code", "left_semi"
     )
     both = compare_sets(
         catalogue, demand, ["onet_soc_code", "skill_name"], "in_onet", "in_market"
     ).withColumn("posting_mention_count", F.coalesce("posting_mention_count", F.lit(0)))
     gap = gap_direction(F.col("in_onet"), F.col("in_market"))
-    mentions = F.col("posting_mention_count")
+    mentioned = F.col("posting_mention_count")
     strong = both.withColumn("gap_direction", gap).where(
-        (F.col("gap_direction") != "market_only") | (mentions >= MIN_ROLE_MENTIONS)
+        (F.col("gap_direction") != "market_only") | (mentioned >= MIN_ROLE_MENTIONS)
     )
     return (
         strong.join(roles, "onet_soc_code", "inner")
@@ -332,7 +338,7 @@ def occupation_skills_profile(joined: DataFrame, roles: DataFrame, technology: D
             "onet_soc_code", "occupation_title", "skill_name", "in_onet", "in_market",
             "onet_is_hot_technology", "onet_is_in_demand", "onet_commodity_title",
             "posting_mention_count", "total_postings_for_soc",
-            safe_ratio(mentions, F.col("total_postings_for_soc"), 4).alias("posting_pct_of_postings"),
+            safe_ratio(mentioned, F.col("total_postings_for_soc"), 4).alias("posting_pct_of_postings"),
             "gap_direction",
         )
     )

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -93,7 +94,13 @@ def shared_joins(silver: Tables) -> Tables:
     }
 
 
+def shared_counts(silver: Tables) -> Tables:
+    """What the two occupation skill marts count, computed once: the largest shuffle of a run."""
+    return {"role_mentions": marts.role_mentions(silver["posting_skill_joined"])}
+
+
 def gold_marts(silver: Tables, seeds: Tables, as_of: dt.date) -> Tables:
+    mentions = silver["role_mentions"]
     jobs, joined = silver["fct_job_postings"], silver["posting_skill_joined"]
     roles, occupations = silver["qualified_roles"], silver["dim_occupations"]
     return {
@@ -104,12 +111,12 @@ def gold_marts(silver: Tables, seeds: Tables, as_of: dt.date) -> Tables:
         "gold_role_analysis": marts.role_analysis(
             jobs, occupations, silver["dim_education_requirements"], as_of),
         "gold_role_top_skills": marts.role_top_skills(
-            joined, roles, occupations, silver["dim_skills"]),
+            mentions, roles, occupations, silver["dim_skills"]),
         "gold_skills_demand": marts.skills_demand(joined, jobs),
         "gold_metro_comparison": marts.metro_comparison(
             jobs, seeds["state_to_cbsa_bridge"], silver["dim_metros"]),
         "gold_occupation_skills_profile": marts.occupation_skills_profile(
-            joined, roles, silver["dim_technology_skills"], occupations),
+            mentions, roles, silver["dim_technology_skills"], occupations),
     }
 
 
@@ -129,8 +136,11 @@ def export_orders() -> dict[str, list]:
 
 
 def run(spark: SparkSession, raw_root: str, out: str, as_of: dt.date | None = None,
-        export: bool = False) -> Tables:
-    """Build and write all tables; returns scans of them plus ``quality_report``."""
+        export: bool = False, side_by_side: int = 4) -> Tables:
+    """Build and write all tables; returns scans of them plus ``quality_report``.
+
+    Tables of one step do not need each other and are written a few at a time.
+    """
     as_of = as_of or dt.date.today()
     raw = bronze(spark, raw_root)
     seeds = {
@@ -140,13 +150,16 @@ def run(spark: SparkSession, raw_root: str, out: str, as_of: dt.date | None = No
     done: Tables = {}
 
     def write(layer: str, tables: Tables) -> None:
-        for name, df in tables.items():
-            done[name] = save(df, out, layer, name, _SPLIT.get(name, ()))
+        with ThreadPoolExecutor(side_by_side) as pool:
+            jobs = {name: pool.submit(save, df, out, layer, name, _SPLIT.get(name, ()))
+                    for name, df in tables.items()}
+        done.update({name: job.result() for name, job in jobs.items()})
 
     write("silver", silver_dimensions(spark, raw, as_of))
     write("silver", silver_postings(raw, seeds))
     write("silver", silver_facts(raw, seeds, done))
     write("silver", shared_joins(done))
+    write("silver", shared_counts(done))
     write("gold", gold_marts(done, seeds, as_of))
     write("checks", {"quality_report": quality.quality_report(done)})
     if export:
@@ -168,6 +181,11 @@ def land(spark: SparkSession, raw_root: str, api: str | None = None, occupations
         land_csv_files(spark, files, raw_root)
 
 
+def start_settings(partitions: str | None) -> dict[str, str]:
+    """Adaptive execution merges small partitions but never splits a number chosen too low."""
+    return {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": partitions} if partitions else {}
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Land fetched files and build all tables.")
     parser.add_argument("mode", choices=["land", "build", "all"])
@@ -179,11 +197,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     parser.add_argument("--export", action="store_true", help="also write marts and diagnostics as CSV")
     parser.add_argument("--master", default=None)
-    parser.add_argument("--partitions", default="200",
-                        help="shuffle partitions to start with; adaptive execution merges small ones")
+    parser.add_argument("--partitions", default=None,
+                        help="shuffle partitions to start with, where the session's own setting is not wanted")
     args = parser.parse_args(argv)
-    spark = build_session(master=args.master, **{
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": args.partitions})
+    spark = build_session(master=args.master, **start_settings(args.partitions))
     if args.mode in ("land", "all"):
         land(spark, args.raw, args.api, args.occupations, args.files)
     if args.mode in ("build", "all"):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Adaptive execution does the run-time sizing: it coalesces small shuffle partitions, splits
@@ -29,3 +31,18 @@ def build_session(app: str = "jobtide", master: str | None = None, **extra: str)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate files that the driver and all executors see.
+
+    It is the one spark.checkpoint.dir names. Only a local session may go without.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir: executors of a local cluster have folders of their own")
+    return tempfile.mkdtemp(prefix="jobtide-")

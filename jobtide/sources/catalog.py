@@ -51,7 +51,7 @@ _LARGE = "kaggle/linkedin_jobs_2024_large"
 _SCIENCE = "kaggle/data_science_jobs"
 
 BRONZE: dict[str, Bronze] = {
-    "stg_adzuna__postings": Bronze("adzuna", "adzuna_*.parquet", columns(
+    "stg_adzuna__postings": Bronze("adzuna", "{adzuna_*.parquet,live/batch-*}", columns(
         string="id|title|description|contract_time|location.display_name|company.display_name"
                "|category.label|created|_search_query|_search_location|_fetched_at",
         double="salary_min|salary_max|latitude|longitude")),
@@ -136,9 +136,6 @@ SEEDS: dict[str, tuple[str, str, list[str]]] = {
 # The seed whose rows form a bronze table of their own.
 SEED_BRONZE = {"stg_onet__ete_categories": "seed_onet__ete_categories"}
 
-# CSV files that are never converted.
-SKIPPED_FILES = ["linkedin_1_3m_job_summary.csv"]
-
 # Bulk files of the occupation database that are used, and the table each one becomes.
 OCCUPATION_FILES = {
     "Occupation Data.txt": "occupation_data",

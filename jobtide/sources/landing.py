@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from jobtide.fixed_values import MACRO_SERIES
@@ -15,23 +17,24 @@ def _write(df: DataFrame, path: str) -> str:
     return path
 
 
-def land_api_payloads(spark: SparkSession, api: str, raw: str) -> list[str]:
+def land_api_payloads(spark: SparkSession, api: str, raw: str,
+                      metros: Sequence[str] = tuple(r.METRO_CODES)) -> list[str]:
     """JSON answers below ``api/{adzuna,bls,fred,acs}`` to parquet below ``raw``.
 
     Live postings accumulate and are landed incrementally; the three series and profile feeds
-    are small, complete answers and replace what was there.
+    are small, complete answers and replace what was there. ``metros`` are the areas to keep.
     """
-    live = f"{raw}/adzuna/adzuna_live.parquet"
+    live = f"{raw}/adzuna/live"
     land_live_postings(spark, f"{api}/adzuna", live, f"{raw}/_checkpoints/adzuna")
     labor = r.explode_series(r.read_json(spark, f"{api}/bls/*.json", r.LABOR_PAYLOAD))
     macro = r.wide_from_map(
         r.read_payloads(spark, f"{api}/fred/*.json"), [series for series, _ in MACRO_SERIES])
-    metros = r.header_rows(r.read_payloads(spark, f"{api}/acs/*.json"), r.METRO_NAMES, r.METRO_CODES)
+    profiles = r.header_rows(r.read_payloads(spark, f"{api}/acs/*.json"), r.METRO_NAMES, metros)
     return [
         live,
         _write(labor, f"{raw}/bls/bls_series.parquet"),
         _write(macro, f"{raw}/fred/fred_series.parquet"),
-        _write(metros, f"{raw}/acs/acs_metro_profiles.parquet"),
+        _write(profiles, f"{raw}/acs/acs_metro_profiles.parquet"),
     ]
 
 
@@ -47,6 +50,6 @@ def land_occupation_files(spark: SparkSession, folder: str, raw: str) -> list[st
     ]
 
 
-def land_csv_files(spark: SparkSession, folder: str, raw: str) -> list[str]:
-    """Downloaded CSV below ``folder`` (laid out like ``raw``) to parquet."""
+def land_csv_files(spark: SparkSession, folder: str, raw: str) -> dict[str, tuple[int, int]]:
+    """Downloaded CSV below ``folder`` (laid out like ``raw``) to parquet; (rows, rejected rows) by table."""
     return r.csv_to_parquet(spark, folder, raw, schemas=r.file_schemas())

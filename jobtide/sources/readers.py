@@ -7,7 +7,10 @@ other CSV, TSV and Parquet is read in splits.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +20,7 @@ from jobtide.fixed_values import METRO_BRIDGE, METRO_KEY, METRO_VARIABLES, SKILL
 from jobtide.operators.joins import inline_mapping
 from jobtide.operators.reshape import dedup_keep_null
 from jobtide.operators.windows import earliest_first
-from jobtide.sources.catalog import BRONZE, SEED_BRONZE, SEEDS, SKIPPED_FILES, columns
+from jobtide.sources.catalog import BRONZE, SEED_BRONZE, SEEDS, columns
 
 # --- parquet ------------------------------------------------------------------------------
 
@@ -149,35 +152,60 @@ METRO_CODES = [code for _, _, code in METRO_BRIDGE]
 # --- CSV and TSV --------------------------------------------------------------------------
 
 
+def plain_path(path: str) -> str:
+    """A path as the file system names it: no escapes, and none of the spellings of file:/."""
+    return re.sub(r"^file:/+", "/", unquote(path))
+
+
+def _odd_quotes(lines: DataFrame) -> DataFrame:
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return lines.where(quotes % 2 == 1)
+
+
 def spans_lines(spark: SparkSession, path: str) -> bool:
     """Whether some quoted field of a CSV holds a line break.
 
     Such a field leaves an odd number of quotes on its first line; without any odd line every
     record is one line and the file can be split. The check itself reads the file in splits.
     """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+    return not _odd_quotes(spark.read.text(path)).isEmpty()
+
 
+def files_that_span_lines(spark: SparkSession, folder: str, pattern: str) -> set[str]:
+    """The files below a folder for which :func:`spans_lines` holds, found in one job."""
+    lines = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(folder)
+    found = _odd_quotes(lines.select("value", "_metadata.file_path")).select("file_path").distinct()
+    return {plain_path(row.file_path) for row in found.collect()}
 
-def read_csv_clean(spark: SparkSession, path: str, names: Sequence[str],
+
+def csv_names(spark: SparkSession, path: str) -> list[str]:
+    """The field names in the header line of a CSV."""
+    header = spark.read.csv(path, header=True, quote='"', escape='"').columns
+    return [name.replace("\u0000", "") for name in header]
+
+
+def read_csv_clean(spark: SparkSession, path: str, names: Sequence[str] | None = None,
                    multi_line: bool | None = None, header: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected raw lines) of a CSV whose fields are ``names`` in this order.
+    """(good rows, rejected raw lines) of a CSV.
 
-    Rows with too few or too many fields are rejected, NUL bytes removed, undecodable bytes
-    replaced. Unless ``multi_line`` is given, the file decides whether it can be split.
+    Fields are named by the header, ``names`` picks some of them; without a header ``names`` are
+    the fields in their order. Rows with too few or too many fields are rejected, NUL bytes
+    removed, undecodable bytes replaced. Unless ``multi_line`` is given, the file decides
+    whether it can be split.
     """
     if multi_line is None:
         multi_line = spans_lines(spark, path)
-    schema = columns(string=list(names)).add("_bad", T.StringType())
+    fields = csv_names(spark, path) if header else list(names or [])
+    schema = columns(string=fields).add("_bad", T.StringType())
     raw = spark.read.csv(
         path, schema=schema, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad",
         multiLine=multi_line, quote='"', escape='"',
     )
     # A scan that is pruned to some of the fields does not notice missing or surplus ones. The
     # split therefore looks at all of them, with a condition that always holds.
-    touched = F.length(F.concat_ws("", *[f"`{n}`" for n in names])) >= 0
+    touched = F.length(F.concat_ws("", *[f"`{n}`" for n in fields])) >= 0
     good = raw.where(F.col("_bad").isNull() & touched).select(
-        *[F.regexp_replace(F.col(f"`{n}`"), "\u0000", "").alias(n) for n in names]
+        *[F.regexp_replace(F.col(f"`{n}`"), "\u0000", "").alias(n) for n in names or fields]
     )
     return good, raw.where(F.col("_bad").isNotNull() & touched).select("_bad")
 
@@ -205,29 +233,35 @@ def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
     return sorted(row.path for row in files.select("path").collect())
 
 
-def csv_to_parquet(spark: SparkSession, folder: str, out: str,
-                   skip: Sequence[str] = tuple(SKIPPED_FILES),
-                   schemas: dict[str, T.StructType] | None = None) -> list[str]:
+def csv_to_parquet(spark: SparkSession, folder: str, out: str, skip: Sequence[str] = (),
+                   schemas: dict[str, T.StructType] | None = None,
+                   side_by_side: int = 8) -> dict[str, tuple[int, int]]:
     """Every CSV below ``folder`` to snappy parquet at the same place below ``out``.
 
-    Skipped: listed file names and files without rows. Returns the tables written.
+    Broken rows go to ``out/_rejects`` under the same name. Skipped: listed file names and files
+    without any row. Returns (rows, rejected rows) by table written. A few files are converted
+    at a time; one pass over the folder has found out which of them can be split.
     """
-    base = folder.rstrip("/").removeprefix("file:")
-    written = []
-    for path in list_files(spark, folder, "*.csv"):
-        relative = path[path.index(base) + len(base) + 1:]
-        name = relative.rsplit("/", 1)[-1]
-        if name in skip:
-            continue
-        stem = relative.removesuffix(".csv")
-        table = spark.read.csv(
-            path, header=True, quote='"', escape='"', multiLine=spans_lines(spark, path))
-        if table.isEmpty():
-            continue
-        typed(table, (schemas or {}).get(stem.rsplit("/", 1)[-1])).write.mode("overwrite").option(
-            "compression", "snappy").parquet(f"{out}/{stem}.parquet")
-        written.append(f"{stem}.parquet")
-    return written
+    base = plain_path(folder).rstrip("/")
+    odd = files_that_span_lines(spark, folder, "*.csv")
+
+    def convert(path: str) -> tuple[str, tuple[int, int]] | None:
+        plain = plain_path(path)
+        stem = plain[plain.index(base) + len(base) + 1:].removesuffix(".csv")
+        good, bad = read_csv_clean(spark, path, multi_line=plain in odd)
+        table, rejects = f"{stem}.parquet", f"{out}/_rejects/{stem}.parquet"
+        rejected = bad.count()
+        if good.isEmpty() and not rejected:
+            return None
+        typed(good, (schemas or {}).get(stem.rsplit("/", 1)[-1])).write.mode("overwrite").option(
+            "compression", "snappy").parquet(f"{out}/{table}")
+        if rejected:
+            bad.write.mode("overwrite").parquet(rejects)
+        return table, (spark.read.parquet(f"{out}/{table}").count(), rejected)
+
+    wanted = [p for p in list_files(spark, folder, "*.csv") if plain_path(p).rsplit("/", 1)[-1] not in skip]
+    with ThreadPoolExecutor(side_by_side) as pool:
+        return dict(done for done in pool.map(convert, wanted) if done)
 
 
 def file_schemas() -> dict[str, T.StructType]:
@@ -241,15 +275,21 @@ def file_schemas() -> dict[str, T.StructType]:
 # --- batches of fetched rows --------------------------------------------------------------
 
 
-def tag_batch(df: DataFrame, query: str, location: str, fetched_at: str) -> DataFrame:
-    """Mark rows with the search they came from; an empty location means everywhere."""
-    return df.withColumns({
-        "_search_query": F.lit(query),
-        "_search_location": F.lit(location or "all"),
-        "_fetched_at": F.lit(fetched_at),
-    })
+def tag_batch(df: DataFrame, query: str | Column, location: str | Column, fetched_at: str | Column,
+              only_missing: bool = False) -> DataFrame:
+    """Mark rows with the search they came from; an empty location means everywhere.
+
+    ``only_missing`` keeps the marks that rows already have.
+    """
+    made = {
+        "_search_query": query if isinstance(query, Column) else F.lit(query),
+        "_search_location": location if isinstance(location, Column) else F.lit(location or "all"),
+        "_fetched_at": fetched_at if isinstance(fetched_at, Column) else F.lit(fetched_at),
+    }
+    return df.withColumns({n: F.coalesce(F.col(n), c) if only_missing else c for n, c in made.items()})
 
 
-def dedup_batch(df: DataFrame, key: str = "id", order: Sequence[str] = ("_fetched_at",)) -> DataFrame:
-    """First row per id; rows without an id are all kept."""
-    return dedup_keep_null(df, key, earliest_first(*order))
+def dedup_batch(df: DataFrame, key: str = "id", order: Sequence[str] = ("_fetched_at",),
+                within: Sequence[str] = ()) -> DataFrame:
+    """First row per id (in each of ``within``); rows without an id are all kept."""
+    return dedup_keep_null(df, key, earliest_first(*order), within)

