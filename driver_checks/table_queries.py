@@ -123,7 +123,33 @@ def posting_skills(spark, d):
         s.turn_skills(spark, d), built_in_seeds(spark)["skill_name_normalization"])
 
 
+# --- marts on the facts that the raw feeds give ----------------------------------------------
+
+
+def chain_market_snapshot(spark, d):
+    return marts.market_snapshot(job_postings(spark, d))
+
+
+def _chain_mentions(spark, d):
+    return marts.role_mentions(marts.posting_skill_joined(posting_skills(spark, d), job_postings(spark, d)))
+
+
+def chain_role_top_skills(spark, d):
+    return marts.role_top_skills(
+        _chain_mentions(spark, d), marts.qualified_roles(job_postings(spark, d)), s.dim_occupations(spark, d),
+        s.dim_skills(spark, d))
+
+
+def chain_skills_profile(spark, d):
+    return marts.occupation_skills_profile(
+        _chain_mentions(spark, d), marts.qualified_roles(job_postings(spark, d)), s.dim_technology(spark, d),
+        s.dim_occupations(spark, d))
+
+
 QUERIES = {
+    "chain_market_snapshot": chain_market_snapshot,
+    "chain_role_top_skills": chain_role_top_skills,
+    "chain_skills_profile": chain_skills_profile,
     "market_snapshot": market_snapshot,
     "market_trends": market_trends,
     "economic_dashboard": economic_dashboard,
@@ -543,3 +569,28 @@ WITH {o.POSTS}, {o.SKILLS}
 SELECT pid AS posting_id, skill AS skill_name, occ AS onet_soc_code, m AS report_month, count(*) AS n
 FROM posts JOIN skilled USING (pid, src) WHERE occ IS NOT NULL OR m IS NOT NULL GROUP BY ALL""",
 }
+
+_CHAINED = {
+    o.POSTS: f"""
+posts AS (
+  SELECT posting_id AS pid, company_name AS company, posted_at AS posted, date_trunc('month', posted_at)::TIMESTAMP AS m,
+    annual_salary_estimate AS pay, is_remote AS remote, is_snapshot AS snap, data_source AS src, onet_soc_code AS occ
+  FROM ({_JOB_POSTINGS})
+)""",
+    o.SKILLS: f"""
+skilled AS (SELECT posting_id AS pid, skill_name AS skill, data_source AS src FROM ({_POSTING_SKILLS}))""",
+}
+
+
+def _chained(sql: str) -> str:
+    """A mart's SQL on the facts of the raw feeds in place of the shapes of the facts."""
+    for shape, fact in _CHAINED.items():
+        sql = sql.replace(shape, fact)
+    return sql
+
+
+ORACLE |= {
+    "chain_market_snapshot": _chained(ORACLE["market_snapshot"]),
+    "chain_role_top_skills": _chained(ORACLE["role_top_skills"]),
+    "chain_skills_profile": _chained(ORACLE["occupation_skills_profile"]),
+}

@@ -177,3 +177,39 @@ def test_median_of_ties_is_exact(spark):
     values = [1, 1, 2, 2, 2, 9]
     df = spark.createDataFrame([("k", v) for v in values], "k string, v int")
     assert groups.exact_percentiles(df, "k", "v", {"m": 0.5}).first()["m"] == statistics.median(values)
+
+
+@pytest.mark.parametrize("kind,values", [
+    ("double", [1.5, 2.7, 9.9, -3.25, 0.0, 1e300, -1e300, 2.7]),
+    ("bigint", [2**40, -2**40, 3, 2**62, 2**33 + 1, 2**33]),
+    ("float", [0.5, 0.25, -8.0]),
+    ("decimal(20,3)", [1, 2, 10]),
+])
+def test_percentiles_keep_the_type(spark, kind, values):
+    df = spark.createDataFrame([(i,) for i in range(len(values))], "i int").selectExpr(
+        f"cast(element_at(array({', '.join(f'cast({v!r} AS {kind})' for v in values)}), i + 1) AS {kind}) AS v", "'k' AS k")
+    got = groups.exact_percentiles(df, "k", "v", {"p25": 0.25, "p50": 0.5, "p90": 0.9}).first()
+    for name, p in (("p25", 25), ("p50", 50), ("p90", 90)):
+        assert got[name] == pytest.approx(np.percentile(np.array(values, float), p))
+
+
+def test_percentiles_rank_nan_last_and_take_numbers_only(spark):
+    df = spark.createDataFrame([("k", 1.0), ("k", float("nan")), ("k", 2.0)], "k string, v double")
+    got = groups.exact_percentiles(df, "k", "v", {"low": 0.0, "mid": 0.5, "top": 1.0}).first()
+    assert (got["low"], got["mid"]) == (1.0, 2.0) and np.isnan(got["top"])
+    with pytest.raises(TypeError):
+        groups.exact_percentiles(df, "v", "k", {"m": 0.5})
+
+
+def test_snapshot_copies_no_row_for_its_distinct_counts(spark):
+    from jobtide.plans import marts
+    df = spark.createDataFrame([], "data_source string, is_snapshot boolean, company_name string, annual_salary_estimate int,"
+                                   " is_remote boolean, posted_at timestamp_ntz, soc_match_type string")
+    plan = marts.market_snapshot(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+
+
+def test_start_settings_leave_the_session_alone():
+    from jobtide.plans.pipeline import start_settings
+    assert start_settings(None) == {}
+    assert list(start_settings("40000").values()) == ["40000"]
