@@ -2,9 +2,10 @@
 
 Two dictionaries are trained on a bounded sample of labelled texts: one on the windows that ordinary
 texts are made of, one on those that stand out in toxic texts (many different contexts there, few in
-ordinary ones). A window is one word between blanks, set into a fixed piece of the ordinary dictionary,
-so that its bytes alone make the difference. The distance of a window is its length under the ordinary
-dictionary less that under both; toxic stems make it positive, also inside words never seen. The
+ordinary ones). A window is one word between blanks, with a run of one byte on either side: every
+compressor shortens the runs alike and without a dictionary, so that the block is always a compressed
+one and the word's bytes alone make the difference. The distance of a window is its length under the
+ordinary dictionary less that under both; toxic stems make it positive, also inside words never seen. The
 evidence of a text is the sum of its distances from a threshold on, and its score evidence / (evidence +
 level). Threshold and level come from labelled texts that the dictionaries have not seen.
 """
@@ -21,11 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import saved
+from jobtide.llm.common import saved, worker_state
 
-CACHED_WORDS = 300_000  # distances a task remembers; only speed depends on it
+CACHED_WORDS = 600_000  # distances a worker remembers; only speed depends on it
 STEMS = (4, 5, 6)       # leading characters that may give a toxic stem
 HEADER = 256            # bytes before a trained dictionary's content, at most
+BEFORE, AFTER = b"\0" * 24, b"\0" * 16
 
 
 @dataclass
@@ -44,22 +46,22 @@ class Distance:
 
         def compressor(content: bytes):
             how = zs.ZstdCompressionParameters(
-                window_log=17, hash_log=16, chain_log=16, search_log=9, target_length=64, min_match=4,
-                strategy=zs.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False,
+                window_log=17, hash_log=17, chain_log=17, search_log=5, target_length=0, min_match=4,
+                strategy=zs.STRATEGY_DFAST, write_content_size=False, write_checksum=False, write_dict_id=False,
                 format=zs.FORMAT_ZSTD1_MAGICLESS)
             held = zs.ZstdCompressionDict(content, dict_type=zs.DICT_TYPE_RAWCONTENT)
             held.precompute_compress(compression_params=how)
             return zs.ZstdCompressor(dict_data=held, compression_params=how).compress
 
         self.ordinary, self.both = compressor(model.ordinary), compressor(model.ordinary + model.toxic)
-        self.before, self.after, self.known = model.ordinary[-48:-8], model.ordinary[-140:-124], {}
+        self.known = worker_state().setdefault(f"distances-{zlib.crc32(model.ordinary)}-{zlib.crc32(model.toxic)}", {})
 
     def __call__(self, word: str) -> int:
         found = self.known.get(word)
         if found is None:
             if len(self.known) > CACHED_WORDS:
                 self.known.clear()
-            window = self.before + f" {word} ".encode("utf-8", "surrogatepass") + self.after
+            window = BEFORE + f" {word} ".encode("utf-8", "surrogatepass") + AFTER
             found = self.known[word] = len(self.ordinary(window)) - len(self.both(window))
         return found
 
@@ -116,18 +118,17 @@ def train(toxic: list[str], ordinary: list[str], bytes_ordinary: int = 32768, by
 
 
 def calibrate(model: Model, toxic: list[str], ordinary: list[str]) -> Model:
-    """The threshold and level that tell the texts apart best: by balanced accuracy, then by the gap between them."""
+    """The lowest threshold that tells the texts apart best, by balanced accuracy, and the level in the widest gap there."""
     distance = Distance(model)
     found = [[[d for d in map(distance, words_of(t)) if d > 0] for t in texts] for texts in (ordinary, toxic)]
-    best = (-1.0, -1.0)
+    most = -1.0
     for threshold in range(1, 9):
         low, high = (np.sort([sum(d for d in ds if d >= threshold) for ds in texts]) for texts in found)
         values = np.unique(np.concatenate((low, high)))
-        for a, b in zip(values[:-1], values[1:]):
-            right = np.mean(low <= a) + np.mean(high >= b)
-            ahead = (round(right, 9), (b + 1) / (a + 1))
-            if ahead > best:
-                best, model.threshold, model.level = ahead, threshold, max(0.5, float(np.sqrt((a + 0.25) * b)))
+        cuts = [(round(np.mean(low <= a) + np.mean(high >= b), 9), (b + 1) / (a + 1), a, b) for a, b in zip(values[:-1], values[1:])]
+        if cuts and max(cuts)[0] > most:
+            most, _, a, b = max(cuts)
+            model.threshold, model.level = threshold, max(0.5, float(np.sqrt((a + 0.25) * b)))
     return model
 
 
