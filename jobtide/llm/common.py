@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import gc
+import sys
 import tempfile
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +50,11 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def worker_state() -> dict:
+    """A dictionary that outlives the task in a Python worker that Spark uses again; for caches alone."""
+    return sys.modules.setdefault("_jobtide_worker_state", types.ModuleType("_jobtide_worker_state")).__dict__
+
+
 def row_key(doc_id: str, text: str) -> Column:
     """A text key of one document row, never null; rows alike in id and text share it."""
     whole = F.coalesce(F.col(text), F.lit(""))
