@@ -153,7 +153,8 @@ def live_enriched(postings: DataFrame, places: DataFrame, one_match: bool = Fals
         place_part(raw, 1).alias("part_2"),
     )
     once = latest_per_key(read, "posting_id", latest_first(
-        "created", "title", "raw_location", "company", "description", "salary_max", "salary_min"))
+        "created", "title", "raw_location", "company", "description", "salary_max", "salary_min",
+        "contract_time", "category_label", "latitude", "longitude"))
     placed = geo_match(once, places, "part_1", "part_2", one_match)
 
     resolved = F.lower(F.col("raw_location")) != "us"

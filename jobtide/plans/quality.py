@@ -12,7 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.fixed_values import DATA_SCIENCE, LINKEDIN, LINKEDIN_LARGE, SOURCES
+from jobtide.fixed_values import (
+    DATA_SCIENCE, EDUCATION_LEVELS, LINKEDIN, LINKEDIN_LARGE, METRO_VARIABLES, SOURCES,
+)
 
 
 @dataclass(frozen=True)
@@ -26,10 +28,6 @@ class Checks:
     accepted_values: dict[str, list[str]] = field(default_factory=dict)
 
 
-def _names(text: str) -> tuple[str, ...]:
-    return tuple(text.split())
-
-
 def negative(c: Column) -> Column:
     """Q1: below zero; zero and NULL pass."""
     return c < 0
@@ -105,119 +103,110 @@ def quality_report(tables: dict[str, DataFrame], checks: dict[str, Checks] | Non
 # --- the checks of the engine's own tables ------------------------------------------------------
 
 _RATED = Checks(
-    not_null=_names("onet_soc_code element_id skill_name importance_value level_value"),
-)
-_EDUCATION = _names(
-    "pct_less_than_high_school pct_high_school_diploma pct_postsecondary_certificate"
-    " pct_some_college pct_associates_degree pct_bachelors_degree"
-    " pct_post_baccalaureate_certificate pct_masters_degree pct_post_masters_certificate"
-    " pct_first_professional_degree pct_doctoral_degree pct_post_doctoral_training"
-)
-_METRO_FIGURES = _names(
-    "pct_civilian_labor_force pct_employed pct_unemployed unemployment_rate"
-    " pct_public_transportation_commute pct_work_from_home mean_commute_minutes"
-    " pct_mgmt_business_science_arts pct_information_industry"
-    " pct_finance_real_estate_rental_leasing pct_professional_scientific_management_admin_waste"
-    " pct_high_school_or_higher pct_bachelors_or_higher pct_broadband median_household_income"
-    " median_earnings_male_ft_yr_round median_earnings_female_ft_yr_round poverty_rate_families"
-    " poverty_rate_all_people"
+    not_null=("onet_soc_code", "element_id", "skill_name", "importance_value", "level_value"),
 )
+_EDUCATION = tuple(EDUCATION_LEVELS)
+_METRO_FIGURES = tuple(name for _, name, _ in METRO_VARIABLES)
 
+# Which columns of the engine's own tables are checked, and for what.
 TABLE_CHECKS: dict[str, Checks] = {
     "dim_occupations": Checks(
-        not_null=_names("onet_soc_code occupation_title occupation_description"),
-        unique=_names("onet_soc_code"),
-        text_trimmed=_names("occupation_title occupation_description"),
+        not_null=("onet_soc_code", "occupation_title", "occupation_description"),
+        unique=("onet_soc_code",),
+        text_trimmed=("occupation_title", "occupation_description"),
     ),
-    "dim_skills": Checks(not_null=_RATED.not_null, text_trimmed=_names("skill_name")),
-    "dim_knowledge": Checks(not_null=_RATED.not_null, text_trimmed=_names("skill_name")),
-    "dim_work_activities": Checks(not_null=_RATED.not_null, text_trimmed=_names("skill_name")),
+    "dim_skills": Checks(not_null=_RATED.not_null, text_trimmed=("skill_name",)),
+    "dim_knowledge": Checks(not_null=_RATED.not_null, text_trimmed=("skill_name",)),
+    "dim_work_activities": Checks(not_null=_RATED.not_null, text_trimmed=("skill_name",)),
     "dim_technology_skills": Checks(
-        not_null=_names(
-            "onet_soc_code technology_name commodity_code commodity_title is_hot_technology"
-            " is_in_demand"
+        not_null=(
+            "onet_soc_code", "technology_name", "commodity_code", "commodity_title",
+            "is_hot_technology", "is_in_demand",
         ),
-        text_trimmed=_names("commodity_title"),
+        text_trimmed=("commodity_title",),
     ),
     "dim_education_requirements": Checks(
-        not_null=("onet_soc_code", *_EDUCATION), unique=_names("onet_soc_code")
+        not_null=("onet_soc_code", *_EDUCATION), unique=("onet_soc_code",)
     ),
     "dim_metros": Checks(
         not_null=("cbsa_fips", "metro_name", *_METRO_FIGURES),
-        unique=_names("cbsa_fips metro_name"),
-        text_trimmed=_names("metro_name"),
-        positive_value=_names(
-            "median_household_income median_earnings_male_ft_yr_round"
-            " median_earnings_female_ft_yr_round"
+        unique=("cbsa_fips", "metro_name"),
+        text_trimmed=("metro_name",),
+        positive_value=(
+            "median_household_income", "median_earnings_male_ft_yr_round",
+            "median_earnings_female_ft_yr_round",
         ),
     ),
-    "dim_companies": Checks(not_null=_names("company_id"), unique=_names("company_id")),
+    "dim_companies": Checks(not_null=("company_id",), unique=("company_id",)),
     "dim_date_spine": Checks(
-        not_null=_names("date_key full_date year month quarter day_of_week is_weekend month_name"),
-        unique=_names("date_key full_date"),
+        not_null=(
+            "date_key", "full_date", "year", "month", "quarter", "day_of_week", "is_weekend",
+            "month_name",
+        ),
+        unique=("date_key", "full_date"),
     ),
     "int_title_to_soc_mapping": Checks(
-        not_null=_names("title_lower onet_soc_code soc_code title_source"),
-        unique=_names("title_lower"),
+        not_null=("title_lower", "onet_soc_code", "soc_code", "title_source"),
+        unique=("title_lower",),
     ),
     "int_kaggle_linkedin__postings_enriched": Checks(
-        not_null=_names("posting_id job_title"),
-        positive_value=_names("annual_salary_estimate"),
+        not_null=("posting_id", "job_title"),
+        positive_value=("annual_salary_estimate",),
         accepted_values={"data_source": [LINKEDIN]},
     ),
     "int_kaggle_large__postings_enriched": Checks(
-        not_null=_names("posting_id job_title"), accepted_values={"data_source": [LINKEDIN_LARGE]}
+        not_null=("posting_id", "job_title"), accepted_values={"data_source": [LINKEDIN_LARGE]}
     ),
     "int_kaggle_ds__postings_enriched": Checks(
-        not_null=_names("posting_id job_title"), accepted_values={"data_source": [DATA_SCIENCE]}
+        not_null=("posting_id", "job_title"), accepted_values={"data_source": [DATA_SCIENCE]}
     ),
     "int_adzuna__postings_enriched": Checks(
-        not_null=_names("posting_id job_title category_label created"),
-        positive_value=_names("salary_mid"),
+        not_null=("posting_id", "job_title", "category_label", "created"),
+        positive_value=("salary_mid",),
     ),
     "fct_job_postings": Checks(
-        not_null=_names("posting_id job_title soc_match_type data_source is_remote is_snapshot"),
-        positive_value=_names("annual_salary_estimate"),
+        not_null=("posting_id", "job_title", "soc_match_type", "data_source", "is_remote", "is_snapshot"),
+        positive_value=("annual_salary_estimate",),
         accepted_values={"data_source": SOURCES},
     ),
     "fct_posting_skills": Checks(
-        not_null=_names("posting_id skill_name data_source"),
+        not_null=("posting_id", "skill_name", "data_source"),
         accepted_values={"data_source": [LINKEDIN, LINKEDIN_LARGE, DATA_SCIENCE]},
     ),
-    "fct_bls_observations": Checks(not_null=_names("series_id series_name value")),
-    "fct_fred_indicators": Checks(not_null=_names("observation_date series_id series_name value")),
+    "fct_bls_observations": Checks(not_null=("series_id", "series_name", "value")),
+    "fct_fred_indicators": Checks(not_null=("observation_date", "series_id", "series_name", "value")),
     "gold_market_snapshot": Checks(
-        not_null=_names("data_source is_snapshot total_postings"),
-        unique=_names("data_source"),
-        positive_value=_names("total_postings"),
+        not_null=("data_source", "is_snapshot", "total_postings"),
+        unique=("data_source",),
+        positive_value=("total_postings",),
         accepted_values={"data_source": SOURCES},
     ),
     "gold_market_trends": Checks(
-        not_null=_names("report_month data_source total_postings"),
-        positive_value=_names("total_postings"),
+        not_null=("report_month", "data_source", "total_postings"),
+        positive_value=("total_postings",),
     ),
     "gold_economic_dashboard": Checks(
-        not_null=_names("report_month series_id series_name source_system category value"),
+        not_null=("report_month", "series_id", "series_name", "source_system", "category", "value"),
         accepted_values={"source_system": ["bls", "fred"]},
     ),
     "gold_role_analysis": Checks(
-        not_null=_names("onet_soc_code occupation_title total_postings"),
-        unique=_names("onet_soc_code"),
-        positive_value=_names("total_postings"),
+        not_null=("onet_soc_code", "occupation_title", "total_postings"),
+        unique=("onet_soc_code",),
+        positive_value=("total_postings",),
     ),
     "gold_role_top_skills": Checks(
-        not_null=_names("onet_soc_code occupation_title skill_name skill_rank mention_count"),
-        positive_value=_names("skill_rank mention_count"),
+        not_null=("onet_soc_code", "occupation_title", "skill_name", "skill_rank", "mention_count"),
+        positive_value=("skill_rank", "mention_count"),
     ),
     "gold_metro_comparison": Checks(
-        not_null=_names("state total_postings"), positive_value=_names("total_postings")
+        not_null=("state", "total_postings"), positive_value=("total_postings",)
     ),
     "gold_skills_demand": Checks(
-        not_null=_names("skill_name report_month mention_count distinct_postings"),
-        positive_value=_names("mention_count distinct_postings"),
+        not_null=("skill_name", "report_month", "mention_count", "distinct_postings"),
+        positive_value=("mention_count", "distinct_postings"),
     ),
     "gold_occupation_skills_profile": Checks(
-        not_null=_names("onet_soc_code skill_name gap_direction"),
+        not_null=("onet_soc_code", "skill_name", "gap_direction"),
         accepted_values={"gap_direction": ["market_only", "onet_only", "aligned"]},
     ),
 }

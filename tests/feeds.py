@@ -159,7 +159,8 @@ def write_raw(spark, root: str) -> str:
     for name, entry in BRONZE.items():
         schema = entry.schema or UNTYPED
         data = rows.get(name, [("k", "v")])
-        file = entry.file.replace("*", "data")
+        # The first of several patterns is that of a single file.
+        file = entry.file.strip("{}").split(",")[0].replace("*", "data")
         spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{root}/{entry.source}/{file}")
     os.makedirs(f"{root}/seeds")
     for file, (sep, lines) in SEED_ROWS.items():
