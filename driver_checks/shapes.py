@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobtide.fixed_values import LINKEDIN, LINKEDIN_LARGE, LIVE, MACRO_SERIES, METRO_KEY, METRO_VARIABLES
-from jobtide.functions.text import soc_code
 from jobtide.operators.joins import match_titles
 from jobtide.plans import dimensions
 from jobtide.plans.postings import title_to_soc
