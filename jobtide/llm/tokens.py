@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -19,35 +18,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from jobtide.llm.common import shared_path
+from jobtide.llm.common import shared_path, worker_state
 
-CACHED_WORDS = 300_000  # words whose ids a task remembers; only speed depends on it
+CACHED_WORDS = 600_000  # words whose ids a worker remembers; only speed depends on it
 FLUSH_IDS = 1 << 20     # ids in an Arrow batch, more only within one document
 
 
 class Encoder:
-    """Encodes texts word by word and remembers the ids of words.
+    """Encodes texts word by word and remembers the ids of words, as the bytes of 32-bit integers.
 
-    No token of a tokenizer that drops white space spans a blank, so the ids of a text are those of its
-    words (cut at ASCII white space) in a row; ``whole`` says that this does not hold.
+    In a tokenizer that drops white space and splits letters from punctuation, no token spans a blank or
+    the place where a word of letters ends and its punctuation begins. The ids of a text are then those
+    of its words (cut at ASCII white space) in a row, with A-Z in lower case first where the tokenizer
+    does so too. ``whole`` is for tokenizers for which this does not hold.
     """
 
     def __init__(self, config: str, whole: bool = False):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.whole, self.known = Tokenizer.from_str(config), whole, {}
+        key = f"encoder-{zlib.crc32(config.encode())}-{len(config)}"
+        self.tokenizer, self.known = worker_state().setdefault(key, (None, {}))
+        if self.tokenizer is None:
+            self.tokenizer = Tokenizer.from_str(config)
+            worker_state()[key] = (self.tokenizer, self.known)
+        self.whole = whole
 
     def __call__(self, text: str, end_id: int | None) -> np.ndarray:
-        end = [] if end_id is None else [end_id]
+        end = b"" if end_id is None else end_id.to_bytes(4, "little")
         if self.whole:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids + end, np.uint32)
-        words = text.encode("utf-8", "surrogatepass").split()
-        if len(self.known) > CACHED_WORDS:
-            self.known = {}
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+            return np.frombuffer(ids.tobytes() + end, "<u4")
+        raw = text.encode("utf-8", "replace")
+        words = (raw if b"<|" in raw else raw.lower()).split()  # special tokens keep their case
         known = self.known
-        for word in {w for w in words if w not in known}:
-            known[word] = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        return np.fromiter(chain(chain.from_iterable(map(known.__getitem__, words)), end), np.uint32)
+        new = set(words).difference(known)
+        if new:
+            if len(known) + len(new) > CACHED_WORDS:
+                known.clear()
+                new = set(words)
+            self._learn(new)
+        return np.frombuffer(b"".join([*map(known.__getitem__, words), end]), "<u4")
+
+    def _learn(self, words: set[bytes]) -> None:
+        split = {}
+        for word in words:
+            core = word.rstrip(b".,;:!?")
+            if len(core) < len(word) and core.decode().isalpha():
+                split[word] = core, word[len(core):]
+        needed = [w for w in {*(words - split.keys()), *(p for pair in split.values() for p in pair)} if w not in self.known]
+        texts = [w.decode() for w in needed]
+        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
+        offsets = np.array([a for a, _ in found.offsets], np.int64)
+        cuts, ids = np.searchsorted(offsets, begins), np.array(found.ids, "<u4")
+        for word, a, b in zip(needed, cuts[:-1].tolist(), cuts[1:].tolist()):
+            self.known[word] = ids[a:b].tobytes()
+        for word, (core, tail) in split.items():
+            self.known[word] = self.known[core] + self.known[tail]
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
