@@ -17,6 +17,8 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark import TaskContext
@@ -102,10 +104,30 @@ class _Shard:
         self.number, self.out = self.number + 1, None
 
 
+def _boundaries(known: DataFrame, shard_bytes: int) -> np.ndarray:
+    """The first id of each shard, for rows (page_id, size, n): as many numbers as there are shards.
+
+    Bytes before an id: those of the ranges of a sort before its own, and of smaller ids in its range.
+    """
+    total = F.sum(F.col("size") * F.col("n"))
+    ids = known.where(F.col("page_id").isNotNull()).groupBy("page_id").agg(total.cast("bigint").alias("bytes"))
+    ids = saved(ids.repartitionByRange("page_id").sortWithinPartitions("page_id")
+                .withColumn("at", F.monotonically_increasing_id()), "ids")
+    part = F.shiftright("at", 33).alias("part")
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ids.groupBy(part).agg(F.sum("bytes").alias("bytes")).select(
+        "part", F.coalesce(F.sum("bytes").over(ahead), F.lit(0)).alias("ahead"))
+    within = F.sum("bytes").over(Window.partitionBy("part").orderBy("at")) - F.col("bytes")
+    shards = (ids.select("page_id", "bytes", "at", part).withColumn("within", within).join(F.broadcast(parts), "part")
+              .groupBy(F.floor((F.col("ahead") + F.col("within")) / shard_bytes).alias("shard")).agg(F.min("page_id").alias("id")))
+    return np.array(sorted(r.id for r in shards.collect()) or [0], np.int64)
+
+
 def write_archive(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html",
                   min_revisit_bytes: int = 0, shard_bytes: int = 1 << 30, roll_bytes: int = 1 << 30) -> DataFrame:
     """Write one record per row to WARC files below ``folder``; returns the manifest, also written there.
 
+    A shard takes whole ids up to about ``shard_bytes`` of payload; rows without an id are in the last one.
     The payload is the html in UTF-8, a null one is empty. Among rows with equal payloads of at least
     ``min_revisit_bytes`` the smallest id is the response and the others revisit it; smaller payloads are all
     responses. A null id ranks last. Rows alike in id and payload keep one response among them, the first by url;
@@ -114,36 +136,37 @@ def write_archive(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     spark = pages.sparkSession
     rows = pages.select(F.col(page_id).cast("bigint").alias("page_id"), F.col(url).alias("url"),
                         F.coalesce(F.col(html), F.lit("")).alias("html"))
-    size, key = F.octet_length("html").cast("bigint"), F.sha2("html", 256)
-    order = [F.col("page_id").asc_nulls_last(), F.col("key")]
-    known = rows.select("page_id", key.alias("key"), size.alias("size")).groupBy("page_id", "key").agg(
-        F.max("size").alias("size"), F.count("*").alias("n"))
-    # The bytes before each row in order: before its range of the sort, and within that.
-    known = saved(known.repartitionByRange(*order).sortWithinPartitions(*order)
-                  .withColumn("at", F.monotonically_increasing_id()), "sizes")
-    part = F.shiftright("at", 33)
-    total = F.sum(F.col("size") * F.col("n"))
-    parts = known.groupBy(part.alias("part")).agg(total.alias("bytes")).withColumn(
-        "ahead", F.coalesce(F.sum("bytes").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    within = total.over(Window.partitionBy("part").orderBy("at")) - F.col("size") * F.col("n")
+    size, key = F.octet_length("html").cast("bigint"), F.unhex(F.sha2("html", 256))
+    known = saved(rows.select("page_id", key.alias("key"), size.alias("size")).groupBy("page_id", "key").agg(
+        F.max("size").alias("size"), F.count("*").alias("n")), "sizes")
+    first_of_shard = _boundaries(known, shard_bytes)
+    # What the writer must know beside a row itself: the response of payloads that several rows have.
     first = (known.where(F.col("size") >= min_revisit_bytes).groupBy("key")
              .agg(F.min("page_id").alias("of"), F.sum("n").alias("alike")).where("alike > 1").drop("alike"))
-    plan = (known.withColumn("part", part).withColumn("within", within)
-            .join(F.broadcast(parts.drop("bytes")), "part")
-            .select("page_id", "key", F.floor((F.col("ahead") + F.col("within")) / shard_bytes).alias("shard"))
-            .join(first.withColumn("shared", F.lit(True)), "key", "left"))
-    plan = saved(plan, "shards").withColumnsRenamed({"page_id": "_page", "key": "_key"})
-    placed = (rows.withColumn("key", key)
-              .join(plan, (F.col("key") == F.col("_key")) & F.col("page_id").eqNullSafe(F.col("_page")))
-              .select("shard", "page_id", "url", "html", "key", "of", F.coalesce("shared", F.lit(False)).alias("shared"))
-              .repartition("shard")
-              .sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "key", F.col("url").asc_nulls_last()))
+    shared = known.join(first, "key").select("page_id", F.lit(None).cast("string").alias("url"),
+                                             F.lit(None).cast("string").alias("html"), "key", "of", F.lit(0).alias("kind"))
+    payload = rows.select("page_id", "url", "html", key.alias("key"), F.lit(None).cast("bigint").alias("of"), F.lit(1).alias("kind"))
+    last_shard = len(first_of_shard) - 1
+
+    @F.pandas_udf("int")
+    def shard_of(ids: pd.Series) -> pd.Series:
+        known_ids = ids.fillna(0).astype("int64").to_numpy()
+        found = np.searchsorted(first_of_shard, known_ids, side="right") - 1
+        return pd.Series(np.where(ids.isna(), last_shard, found).clip(0).astype("int32"))
+
+    # Payloads are shuffled once; what several rows share comes before the rows it is about.
+    placed = (shared.unionByName(payload).withColumn("shard", shard_of("page_id")).repartition("shard")
+              .sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "key", "kind", F.col("url").asc_nulls_last())
+              .select("shard", "page_id", "url", "html", "key", "of", "kind"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_shard, last, place, listed = None, None, 0, []
+        open_shard, last, place, response, listed = None, None, 0, None, []
         for batch in batches:
-            for shard, page, link, html, key, of, shared in zip(*(batch.column(i) for i in range(7))):
-                shard, page, of, key = shard.as_py(), page.as_py(), of.as_py(), key.as_py()
+            for shard, page, link, html, key, of, kind in zip(*(batch.column(i) for i in range(7))):
+                shard, page, key = shard.as_py(), page.as_py(), key.as_py()
+                if kind.as_py() == 0:
+                    response = page, key, of.as_py()
+                    continue
                 if open_shard is None or open_shard.shard != shard:
                     if open_shard is not None:
                         open_shard.close()
@@ -151,8 +174,10 @@ def write_archive(pages: DataFrame, folder: str, page_id: str = "page_id", url:
                     open_shard = _Shard(folder, shard, roll_bytes)
                 place = place + 1 if last == (page, key) else 0
                 last = (page, key)
-                revisit = shared.as_py() and (page != of or place > 0)
-                open_shard.add(page_record(page, link.as_py(), html.as_py().encode("utf-8", "surrogatepass"), of, revisit, place))
+                shared = response is not None and response[:2] == (page, key)
+                revisit = shared and (page != response[2] or place > 0)
+                payload = html.as_py().encode("utf-8", "surrogatepass")
+                open_shard.add(page_record(page, link.as_py(), payload, response[2] if shared else None, revisit, place))
         if open_shard is not None:
             open_shard.close()
             listed += open_shard.listed
