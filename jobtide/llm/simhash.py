@@ -28,24 +28,33 @@ _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder=
 _COLUMN = (np.arange(8) * 256)[None, :]
 
 
-def fingerprint_of(text: str | None, shingle: int = 3) -> int:
-    """The signed 64-bit fingerprint of one text; 0 where it has no words."""
+def shingles(text: str | None, shingle: int) -> list[bytes]:
+    """All shingles of a text in order; fewer words than a shingle are one, no words none."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return []
     whole = b" ".join(words)
     if len(words) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(whole, SEED)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        starts = [0, *ends[:-shingle].tolist()]
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(whole[a:b], SEED) for a, b in zip(starts, (ends[shingle - 1:] - 1).tolist())]
+        return [whole]
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = [0, *ends[:-shingle].tolist()]
+    return [whole[a:b] for a, b in zip(starts, (ends[shingle - 1:] - 1).tolist())]
+
+
+def fingerprint_of_hashes(hashes: list[int]) -> int:
+    """The signed 64-bit fingerprint of shingle hashes; 0 where there are none."""
+    if not hashes:
+        return 0
     by_byte = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
     counts = np.bincount((by_byte + _COLUMN).ravel(), minlength=2048).reshape(8, 256) @ _BITS
     return int(np.packbits(2 * counts.ravel() > len(hashes), bitorder="little").view("<i8")[0])
 
 
+def fingerprint_of(text: str | None, shingle: int = 3) -> int:
+    """The signed 64-bit fingerprint of one text; 0 where it has no words."""
+    return fingerprint_of_hashes([xxhash.xxh64_intdigest(x, SEED) for x in shingles(text, shingle)])
+
+
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
     """One row (doc_id, row, fp) per document row; row is its key by id and text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

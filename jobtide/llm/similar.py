@@ -1,0 +1,150 @@
+"""Near-duplicates by similarity: candidate pairs from fingerprints and min-hashes, decided on their texts.
+
+Two texts are linked if the Jaccard similarity of their shingles is ``least`` or more. SimHash fingerprints and the
+pigeonring propose pairs of at most 3 bits apart. A pair at 0.8 is 9 bits apart at the median and 22 at the most seen,
+where random texts begin, so the others are proposed by min-hashes: 200, in 40 bands of 5. A pair at similarity 0.8
+shares no band with probability 1.2e-7. Whatever is proposed, the shingles of both texts decide.
+
+Texts of a band are held against its first one; after that only pairs that no link yet connects are proposed, so
+large groups of copies cost one check for each text.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from hashlib import blake2b
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from jobtide.llm.common import components, release, row_key, saved
+from jobtide.llm.simhash import SEED, fingerprint_of_hashes, links, shingles
+
+BANDS, IN_BAND = 40, 5
+_DRAW = np.random.default_rng(SEED)
+_TIMES = _DRAW.integers(1, 1 << 63, (BANDS * IN_BAND, 1), np.uint64) * np.uint64(2) + np.uint64(1)
+_MIX = _DRAW.integers(1, 1 << 63, (BANDS, IN_BAND), np.uint64) * np.uint64(2) + np.uint64(1)
+_AT = 1 << 10  # shingles at a time: bounds the memory of a long text
+
+
+def band_keys(hashes: list[int]) -> list[int]:
+    """One signed 64-bit key of each band of min-hashes; none without shingles."""
+    if not hashes:
+        return []
+    all_hashes = np.array(hashes, np.uint64)
+    least = np.full(BANDS * IN_BAND, ~np.uint64(0))
+    for begin in range(0, len(all_hashes), _AT):
+        np.minimum(least, (_TIMES * all_hashes[None, begin:begin + _AT]).min(axis=1), out=least)
+    mixed = (least ^ least >> np.uint64(29)).reshape(BANDS, IN_BAND) * _MIX
+    return mixed.sum(axis=1, dtype=np.uint64).view(np.int64).tolist()
+
+
+def similarity(left: set[bytes], right: set[bytes]) -> float:
+    both = len(left & right)
+    return both / (len(left) + len(right) - both) if both else 0.0
+
+
+def signatures(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
+    """One row (doc_id, row, sig, n, fp, keys) per document row; sig names its words, n counts its distinct shingles."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sigs, sizes, fps, keys = [], [], [], []
+            for t in batch.column(2):
+                parts = shingles(t.as_py(), shingle)
+                hashes = [xxhash.xxh64_intdigest(x, SEED) for x in parts]
+                words = (t.as_py() or "").encode("utf-8", "surrogatepass").lower().split()
+                sigs.append(blake2b(b" ".join(words), digest_size=16).hexdigest())
+                sizes.append(len(set(parts)))
+                fps.append(fingerprint_of_hashes(hashes))
+                keys.append(band_keys(hashes))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sigs, pa.string()), pa.array(sizes, pa.int64()),
+                 pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "row", "sig", "n", "fp", "keys"])
+
+    picked = docs.select(F.col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("row"), F.col(text).alias("text"))
+    kind = picked.schema["doc_id"].dataType.simpleString()
+    return picked.mapInArrow(run, f"doc_id {kind}, row string, sig string, n bigint, fp bigint, keys array<bigint>")
+
+
+def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, shingle: int,
+             least: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts have a similarity of ``least`` or more."""
+    wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
+    wanted = wanted.join(nodes.select("sig", F.col("row").alias("_llm_row")), "sig")
+    texts = saved(docs.select(row_key(doc_id, text).alias("_llm_row"), F.col(text).alias("_llm_text"))
+                  .join(wanted, "_llm_row").dropDuplicates(["sig"]).select("sig", "_llm_text"), "texts")
+    side = lambda at: texts.select(F.col("sig").alias(at), F.col("_llm_text").alias(f"text_{at}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, right = None, set()
+        for batch in batches:
+            kept = []
+            for i in range(batch.num_rows):
+                b = batch.column(1)[i].as_py()
+                if b != last:
+                    last, right = b, set(shingles(batch.column(3)[i].as_py(), shingle))
+                kept.append(similarity(set(shingles(batch.column(2)[i].as_py(), shingle)), right) >= least)
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return both.mapInArrow(run, "a string, b string")
+
+
+def similar_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5,
+                    least: float = 0.8) -> DataFrame:
+    """Classes of similar documents: (doc_id, row, sig, root), one row per document row.
+
+    Words are cut at ASCII white space after lower-casing A-Z; a text with fewer words than a shingle is one shingle,
+    texts without words (empty, null) are one class. A class is a connected component of linked texts.
+    Repeated rows stay and share their class; an empty table gives an empty result.
+    """
+    rows = saved(signatures(docs, doc_id, text, shingle), "signatures")
+    nodes = saved(rows.groupBy("sig").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("fp").alias("fp"),
+                                          F.first("keys").alias("keys")), "nodes")
+    bands = nodes.select("sig", "n", F.explode("keys").alias("key"))
+    near = lambda m, n: f"least({m}, {n}) >= {least}D * greatest({m}, {n}) - 1e-6D"
+
+    # First the pairs of near fingerprints, and every text with the first of each of its bands.
+    by_fp = nodes.groupBy("fp").agg(F.min(F.struct("sig", "n")).alias("s")).select("fp", "s.sig", "s.n")
+    close = links(by_fp.select("fp"), 3)
+    for at in ("a", "b"):
+        close = close.withColumnRenamed(at, "fp").join(by_fp.withColumnsRenamed({"sig": f"s{at}", "n": f"n{at}"}), "fp").drop("fp")
+    close = close.select(F.greatest("sa", "sb").alias("a"), F.least("sa", "sb").alias("b"), "na", "nb")
+    first = bands.groupBy("key").agg(F.min(F.struct("sig", "n")).alias("f"), F.count("*").alias("size")).where("size > 1")
+    star = bands.join(first, "key").where("sig <> f.sig").select(
+        F.col("sig").alias("a"), F.col("f.sig").alias("b"), F.col("n").alias("na"), F.col("f.n").alias("nb"))
+    tried = saved(close.unionByName(star).where(near("na", "nb")).select("a", "b").distinct(), "tried")
+    linked = saved(_similar(tried, nodes, docs, doc_id, text, shingle, least), "linked")
+    roots = components(linked)
+
+    # Then the other pairs of each band that no link connects so far.
+    placed = bands.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select(
+        "key", "sig", "n", F.coalesce("root", "sig").alias("root"))
+    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    placed = saved(placed.join(mixed, "key", "left_semi"), "placed")
+    joined = placed.alias("l").join(placed.alias("r"), F.expr(
+        f"l.key = r.key AND l.sig > r.sig AND l.root <> r.root AND {near('l.n', 'r.n')}"))
+    rest = joined.select(F.col("l.sig").alias("a"), F.col("r.sig").alias("b")).distinct()
+    rest = saved(rest.join(tried, ["a", "b"], "left_anti"), "rest")
+    more = _similar(rest, nodes, docs, doc_id, text, shingle, least)
+    roots = components(saved(linked.unionByName(more), "linked"))
+    release(docs.sparkSession)
+    return rows.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select(
+        "doc_id", "row", "sig", F.coalesce("root", "sig").alias("root"))
+
+
+def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5,
+                 least: float = 0.8) -> DataFrame:
+    """The documents with one row of each class: the smallest doc_id, among its rows the smallest row key.
+
+    Columns stay as they are. A null id ranks last; rows alike in id and text count as one.
+    """
+    classes = similar_classes(docs, doc_id, text, shingle, least)
+    first = classes.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    kept = first.select(F.col("first.row").alias("_llm_row")).distinct()
+    keyed = docs.withColumn("_llm_row", row_key(doc_id, text))
+    return keyed.join(kept, "_llm_row", "left_semi").dropDuplicates(["_llm_row"]).drop("_llm_row")
