@@ -44,8 +44,10 @@ ALLOWED = (
     r"^(?:[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12})$",  # UUID
     r"(?i)(?:example|sample|placeholder|changeme|dummy|xxxx)",
     r"^(?:sha(?:1|256|384|512)-)",                                 # integrity attribute
-    r"^/|/.*/.*/",                                                  # path
+    r"^(?!.*[^/]{20})(?:/|[^/]*/[^/]*/[^/]*/)",                     # path of short names
 )
+# A candidate of this shape may be a path: its pieces between slashes are judged, each as a candidate of its own.
+PATH = r"^(?:/|[^/]*/[^/]*/[^/]*/)"
 
 
 def _quoted(pattern: str) -> str:
@@ -83,14 +85,22 @@ def max_entropy(value: str, kind: CharClass) -> str:
 
 
 def entropy_spans(text: str, classes: tuple[CharClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED) -> str:
-    """SQL: the (start, end, value) of candidate strings of high entropy that the allow-list does not name."""
+    """SQL: the (start, end, value) of candidate strings of high entropy that the allow-list does not name.
+
+    A string like a path counts if one of its pieces would count alone; the span is that of the whole string.
+    """
     parts = []
     for kind in classes:
         pattern = f"(?<!{kind.pattern}){kind.pattern}{{{kind.width},}}"
-        needs = " AND ".join(f"rlike(m.value, {_quoted(n)})" for n in kind.needs)
-        known = " OR ".join(f"rlike(m.value, {_quoted(a)})" for a in allowed) or "false"
-        parts.append(f"filter({matches(text, pattern)}, m -> {needs} AND NOT ({known})"
-                     f" AND {max_entropy('m.value', kind)} >= {kind.bits})")
+
+        def random(value: str) -> str:
+            needs = " AND ".join(f"rlike({value}, {_quoted(n)})" for n in kind.needs)
+            known = " OR ".join(f"rlike({value}, {_quoted(a)})" for a in allowed) or "false"
+            return f"{needs} AND NOT ({known}) AND {max_entropy(value, kind)} >= {kind.bits}"
+
+        piece = f"exists(split(m.value, '/'), p -> length(p) >= {kind.width} AND {random('p')})"
+        parts.append(f"filter({matches(text, pattern)}, m -> if(rlike(m.value, {_quoted(PATH)}), NOT"
+                     f" ({' OR '.join(f'rlike(m.value, {_quoted(a)})' for a in allowed) or 'false'}) AND {piece}, {random('m.value')}))")
     return parts[0] if len(parts) == 1 else f"array_union({', '.join(parts)})"
 
 

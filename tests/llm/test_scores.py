@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import math
 import random
 import re
@@ -56,6 +57,21 @@ def test_secrets_match_brute_force(spark):
     assert find_secrets(df.limit(0)).count() == 0
 
 
+def test_secrets_with_slashes_are_no_paths(spark):
+    draw = random.Random(9)
+    long = [base64.b64encode(draw.randbytes(size)).decode() for size in (128, 1024) for _ in range(40)]
+    token = "aG9sZDQ5c0xQd1p4QmtUN2YxR3"
+    glued = [f"/usr/share/app/{token}", f"/a/b/c/{token}/", f"repo/src/main/{token}"]
+    paths = ["/usr/lib/python3/dist/Foo1", "/usr/share/aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaA1/x", "src/Main/java/org/Version2/impl",
+             "/opt/data/123e4567-e89b-12d3-a456-426614174000/Ab1"]
+    values = [*long, *glued, *paths]
+    assert sum(v.startswith("/") or v.count("/") >= 3 for v in long) >= 40
+    df = spark.createDataFrame([(i, f"see {v} end") for i, v in enumerate(values)], "doc_id int, text string")
+    got = {r.doc_id: [tuple(x) for x in r.found if x.kind == "entropy"] for r in find_secrets(df).collect()}
+    for i, v in enumerate(values):
+        assert got[i] == ([] if v in paths else [(4, 3, "entropy", 4 + len(v))]), v
+
+
 def test_secrets_of_a_long_text(spark):
     text = prose(1, 30000) + " token=abcdefgh " + "ab " * 50000
     got = find_secrets(spark.createDataFrame([(1, text)], "doc_id int, text string")).first().found
