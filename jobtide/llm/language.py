@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtide.llm.common import row_hash, saved
@@ -35,23 +35,32 @@ def trigrams(text: str | None) -> np.ndarray:
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "lang", per_language: int = 600,
-        most_chars: int = 40_000, most_languages: int = 200) -> tuple[list[str], np.ndarray]:
+        most_chars: int = 40_000) -> tuple[list[str], np.ndarray]:
     """Languages and their trigram log-probabilities, from at most ``per_language`` labelled texts of each.
 
-    The sample is that of the smallest hashes of ids, of texts of at most ``most_chars`` characters; it is the only
-    part of the model that does not grow with the table. The last row is that of no language.
+    Every label with a text that is not null is a language. The sample is that of the smallest hashes of ids, of texts
+    of at most ``most_chars`` characters; a language with fewer of these is filled up with its shortest other ones.
+    The model grows with the number of languages alone. The last row is that of no language.
     """
-    known = docs.where(F.col(label).isNotNull() & (F.length(text) <= most_chars)).select(
+    known = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(doc_id).alias("_id"), F.col(label).alias("_label"), F.col(text).alias("text"))
-    languages = sorted(r[0] for r in known.select("_label").distinct().limit(most_languages).collect())
-    keys = [known.where(F.col("_label") == language).select("_id", "_label").orderBy(F.xxhash64("_id"), "_id").limit(per_language)
-            for language in languages]
-    if not keys:
+    # 0 for all texts that are short enough; longer ones come after them, by length.
+    over = F.when(F.length("text") > most_chars, F.length("text")).otherwise(0)
+    keys = known.select("_id", "_label", over.alias("_over")).withColumn("_hash", F.xxhash64("_id"))
+    # A histogram in the same order tells which rows can be among the first, so that no task ranks a whole language.
+    keys = keys.withColumn("_bin", F.expr(f"if(_over = 0, shiftright(_hash, 56), 128 + _over div {most_chars + 1})"))
+    running = Window.partitionBy("_label").orderBy("_bin")
+    last = keys.groupBy("_label", "_bin").agg(F.count("*").alias("_m")).withColumn("_m", F.sum("_m").over(running)).groupBy(
+        "_label").agg(F.coalesce(F.min(F.when(F.col("_m") >= per_language, F.col("_bin"))), F.max("_bin")).alias("_last"))
+    keys = keys.join(last, "_label").where("_bin <= _last")
+    order = Window.partitionBy("_label").orderBy("_over", "_hash", "_id")
+    keys = keys.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language).select("_id", "_label", "_over")
+    picked = saved(keys.distinct(), "keys")
+    languages = sorted(r[0] for r in picked.select("_label").distinct().collect())
+    if not languages:
         return [NONE], np.full((1, BUCKETS), -np.log(BUCKETS), np.float32)
-    picked = keys[0]
-    for more in keys[1:]:
-        picked = picked.unionByName(more)
-    sample = known.join(F.broadcast(saved(picked.distinct(), "keys")), ["_id", "_label"])
+    known = known.withColumn("_over", over)
+    sample = known.join(picked, ["_id", "_label", "_over"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -68,7 +77,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str
     counted = counted.groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     table = np.full((len(languages) + 1, BUCKETS), 0.5)
     rows = counted.toPandas()  # bounded: languages x buckets
-    np.add.at(table, ([languages.index(x) for x in rows["label"]], rows["bucket"].to_numpy()), rows["n"].to_numpy())
+    place = {language: i for i, language in enumerate(languages)}
+    np.add.at(table, ([place[x] for x in rows["label"]], rows["bucket"].to_numpy()), rows["n"].to_numpy())
     table[-1] = 1.0
     return [*languages, NONE], np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
 

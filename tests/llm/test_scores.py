@@ -134,6 +134,18 @@ def two_languages(spark):
     return spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
 
 
+def test_every_language_is_learned(spark):
+    rows = [(i, " ".join(chr(97 + i % 26) * 3 for _ in range(4)), f"l{i:03d}") for i in range(230)]
+    rows += [(1000 + i, "karan lodel " * (4000 + i), "long") for i in range(3)] + [(2000, None, "none")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    names, table = language.fit(df, per_language=2)
+    assert names == [*(f"l{i:03d}" for i in range(230)), "long", language.NONE] and len(table) == 232
+    short = language.fit(df.where("lang = 'long'"), per_language=2)[1][0]
+    two = language.fit(df.where("doc_id IN (1000, 1001)"), per_language=2)[1][0]
+    assert (short == two).all()  # its shortest texts
+    assert (language.fit(df.repartition(7), per_language=2)[1] == table).all()
+
+
 def test_language_evidence_is_fused(spark, two_languages):
     model = language.fit(two_languages)
     assert model[0] == ["aa", "bb", language.NONE]
