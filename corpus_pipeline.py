@@ -9,7 +9,7 @@ from jobtide.llm.common import read, saved
 from jobtide.llm.decontaminate import drop_contaminated
 from jobtide.llm.mixing import mix
 from jobtide.llm.queries import TOKENIZER
-from jobtide.llm.similar import drop_similar
+from jobtide.llm.simhash import drop_near_duplicates
 from jobtide.llm.tokens import tokenized
 
 
@@ -22,8 +22,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays: texts linked at a similarity of 0.8 or more over their 5-word shingles."""
-    return drop_similar(docs, shingle=5, least=0.8)
+    """One document of each class stays: fingerprints of 3-word shingles linked at 3 differing bits or fewer."""
+    return drop_near_duplicates(docs, shingle=3, max_bits=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
