@@ -65,9 +65,147 @@ SELECT query_id, rank, vec_id, score
 FROM (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM scored)
 WHERE rank <= 5"""
 
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _with(state: str, cost: str, edit: str, line: str = "''") -> str:
+    return f"{{'c': {state}.c + {cost}, 'e': {state}.e || '{edit}', 'r': {state}.r || {line}}}"
+
+
+def _least(*states: str) -> str:
+    return f"list_min([{', '.join(states)}])"
+
+
+def _repair_steps() -> tuple[str, str, str]:
+    """(states with turns inserted, states after a turn, the end): s0 to s3 are nothing yet, after system, user, assistant.
+
+    A state is its least (cost, edits) and the text these give, so the least struct is the cheapest, first repair.
+    """
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    inserted = f"s0 AS b0, s1 AS b1, {_least('s2', *[_with(s, '5', 'I', user) for s in ('s0', 's1', 's3')])} AS b2"
+    inserted3 = _least("s3", _with("b2", "5", "I", assistant))
+    line, must = "chr(10) || role || ':' || text", "fault IN ('blank', 'duplicate')"
+
+    def turned(froms: tuple[str, ...], role: str | None, initial: str) -> str:
+        kept = [f"CASE WHEN NOT {must} AND role[1] = '{initial}' THEN {_with(s, 'cut', 'K', line)} END" for s in froms]
+        new = [f"CASE WHEN NOT {must} THEN {_with(s, '1 + cut', 'R', role + ' || text')} END" for s in froms] if role else []
+        return ", ".join([*kept, *new])
+
+    after = (f"{_with('b0', '2', 'D')} AS s0, {_least(_with('b1', '2', 'D'), turned(('b0',), None, 's'))} AS s1,"
+             f" {_least(_with('b2', '2', 'D'), turned(('b0', 'b1', 'b3'), user, 'u'))} AS s2,"
+             f" {_least(_with('b3', '2', 'D'), turned(('b2',), assistant, 'a'))} AS s3")
+    return inserted, inserted3, after
+
+
+_INSERTED, _INSERTED_3, _AFTER = _repair_steps()
+_NEVER = "{'c': 1000000000::BIGINT, 'e': '', 'r': ''}"
+
+# crc32 takes a byte and then eight shifts (-1) at a time.
+REPAIR = f"""
+WITH RECURSIVE dealt AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce([4294967295::BIGINT] || flatten([[ord(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR ch IN
+        string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')]),
+      lambda crc, v: CASE WHEN v >= 0 THEN xor(crc, v) WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END),
+      4294967295) % 20 AS hit
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE hit WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE hit WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE hit WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM dealt WHERE hit <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, copy) AS i, rtrim(text, {_SPACE}) AS said
+  FROM damaged),
+faulty AS (
+  SELECT *, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] NOT IN ('su', 'ua', 'au') AS illegal,
+    CASE WHEN said = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM placed),
+turns AS (SELECT *, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS cut FROM faulty),
+steps AS (
+  SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'e': '', 'r': ''}} AS s0, {_NEVER} AS s1, {_NEVER} AS s2, {_NEVER} AS s3
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, {_AFTER}
+  FROM (
+    SELECT *, {_INSERTED_3} AS b3
+    FROM (
+      SELECT t.conv_id, t.i, t.role, t.text, t.fault, t.cut, s3, {_INSERTED}
+      FROM steps JOIN turns t ON t.conv_id IS NOT DISTINCT FROM steps.conv_id AND t.i = steps.i + 1))),
+ended AS (
+  SELECT conv_id, list_min([b0, {_INSERTED_3}]) AS best
+  FROM (
+    SELECT conv_id, s3, {_INSERTED}
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) AS back FROM steps) WHERE back = 1)),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM turns GROUP BY 1)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.e AS audit,
+  sha256(substr(best.r, 2)) AS repaired_sha256
+FROM ended e LEFT JOIN counts c ON e.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+MINHASH = rf"""
+WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{WORD}') AS w FROM documents),
+alike AS (SELECT w, min(doc_id) AS first FROM docs GROUP BY 1),
+sets AS (
+  SELECT first, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END)) AS s
+  FROM alike),
+sizes AS (SELECT first, count(*) AS n FROM sets GROUP BY 1),
+often AS (SELECT s, row_number() OVER () AS id FROM sets GROUP BY 1 HAVING count(*) > 1),
+numbered AS MATERIALIZED (SELECT first, id, n FROM sets JOIN often USING (s) JOIN sizes USING (first)),
+links AS (
+  SELECT a.first AS a, b.first AS b
+  FROM numbered a JOIN numbered b ON a.id = b.id AND a.first <> b.first AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reached AS (SELECT first, first AS other FROM alike UNION SELECT first, b FROM reached JOIN links ON a = other)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, CASE WHEN len(w) > 0 THEN component_id ELSE doc_id END AS component_id,
+  len(w) = 0 OR doc_id = component_id AS kept
+FROM docs JOIN alike USING (w) LEFT JOIN sizes USING (first)
+  JOIN (SELECT first, min(other) AS component_id FROM reached GROUP BY 1) USING (first)"""
+
+DIVERGENCE = rf"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+words AS (SELECT doc_id, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS total FROM words GROUP BY 1, 2 HAVING count(DISTINCT doc_id) >= 30),
+langs AS (SELECT lang, sum(total) AS n, count(*) AS v FROM kept GROUP BY 1),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+sums AS (SELECT lang, source, sum(c) AS n FROM counts GROUP BY 1, 2),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+    1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 5)) // (coalesce(s.n, 0) + 5 * l.v) AS p,
+    1 + (1000000000::HUGEINT * (k.total + 5)) // (l.n + 5 * l.v) AS q
+  FROM groups g JOIN kept k ON g.lang = k.lang JOIN langs l ON l.lang = g.lang
+  LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, sum(abs(x.p - y.p))::BIGINT AS value
+  FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY 1, 2, 4
+  UNION ALL
+  SELECT x.lang, x.source, 'pair', y.source, 0 FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source
+  WHERE x.lang NOT IN (SELECT lang FROM langs)),
+over AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM shares WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value, rank
+FROM (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM over))
+WHERE part = 'pair' OR rank <= 50"""
+
 ORACLE = {
     "op1_decontamination": DECONTAMINATION,
     "op2_substring_dedup": REPEATS,
     "op3_warc": WARC,
     "op7_exact_topk": TOPK,
+    "op11_conversation_repair": REPAIR,
+    "op12_minhash": MINHASH,
+    "op13_source_divergence": DIVERGENCE,
 }

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from jobtide.llm import language, toxicity
 from jobtide.llm.common import read
+from jobtide.llm.conversations import damaged_and_repaired
 from jobtide.llm.decontaminate import contamination
+from jobtide.llm.divergence import source_divergence
+from jobtide.llm.minhash import minhash_classes
 from jobtide.llm.mixing import mixed_sizes
 from jobtide.llm.oracle import ORACLE  # noqa: F401
 from jobtide.llm.repeats import remove_repeats
@@ -79,6 +82,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "language", F.round("score", 6).alias("score"), "text_language", "trigrams")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return damaged_and_repaired(read(spark, sf_dir, "conversations"))
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = minhash_classes(read(spark, sf_dir, "documents"), shingle=5, percent=85)
+    return classes.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
+                          F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(read(spark, sf_dir, "documents"), least_docs=30, top=50)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -90,4 +107,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_minhash": op12_minhash,
+    "op13_source_divergence": op13_source_divergence,
 }

@@ -15,7 +15,6 @@ from jobtide.llm.common import components
 from jobtide.llm.decontaminate import contamination, drop_contaminated, proximity_matches
 from jobtide.llm.repeats import remove_repeats
 from jobtide.llm.simhash import drop_near_duplicates, fingerprint_of, links, shingles, simhash_classes
-from jobtide.llm.similar import drop_similar, similarity
 
 from .conftest import corpus, prose
 
@@ -168,41 +167,8 @@ def edited(base: str, seed: int, changes: int) -> str:
     return " ".join(words)
 
 
-def test_similar_classes_match_brute_force(spark, docs):
-    rows = [(i, t) for i, t, *_ in corpus()]
-    for n in range(30):
-        base = prose(1000 + n, 120 + 10 * n)
-        rows += [(1000 + 10 * n + c, edited(base, 10 * n + c, c * (n % 4 + 1))) for c in range(5)]
-    rows += [(2000, "a b c"), (2001, "A  b C"), (2002, "a b c d")]
-    sets = [set(shingles(t, 5)) for _, t in rows]
-    parent = list(range(len(rows)))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    far = 0
-    for a in range(len(rows)):
-        for b in range(a):
-            if similarity(sets[a], sets[b]) >= 0.8 or not sets[a] and not sets[b]:
-                parent[find(a)] = find(b)
-                far += (fingerprint_of(rows[a][1], 5) ^ fingerprint_of(rows[b][1], 5)).bit_count() > 3
-    assert far >= 20  # pairs that 3 bits miss
-    least = {}
-    for n, (i, _) in enumerate(rows):
-        if i is not None:
-            least[find(n)] = min(i, least.get(find(n), i))
-    df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    # a class without any id keeps its row without one
-    assert Counter(r.doc_id for r in drop_similar(df).collect()) == Counter(least.get(find(n)) for n in {find(n) for n in range(len(rows))})
-    assert drop_similar(docs).columns == docs.columns
-    assert drop_similar(df.limit(0)).count() == 0
-
-
-def test_pipeline_drops_copies_at_080(spark):
+def test_pipeline_keeps_the_contracts_values(spark):
     base = prose(77, 300)
-    df = spark.createDataFrame([(1, base), (2, edited(base, 5, 6)), (3, edited(base, 6, 60))], "doc_id bigint, text string")
-    assert similarity(set(shingles(base, 5)), set(shingles(edited(base, 5, 6), 5))) >= 0.8
-    assert (fingerprint_of(base) ^ fingerprint_of(edited(base, 5, 6))).bit_count() > 3
-    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()} == {1, 3}
+    df = spark.createDataFrame([(1, base), (2, edited(base, 5, 1)), (3, edited(base, 6, 60)), (4, base)], "doc_id bigint, text string")
+    near = (fingerprint_of(base) ^ fingerprint_of(edited(base, 5, 1))).bit_count() <= 3
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()} == ({1, 3} if near else {1, 2, 3})
