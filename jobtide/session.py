@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution does the run-time sizing: it coalesces small shuffle partitions, splits
 # skewed join partitions (also where that costs one more shuffle) and turns a sort-merge join
@@ -46,3 +47,10 @@ def shared_folder(spark: SparkSession) -> str:
     if spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir: executors of a local cluster have folders of their own")
     return tempfile.mkdtemp(prefix="jobtide-")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: what several steps read is computed once, whatever executor is lost."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

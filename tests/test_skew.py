@@ -80,3 +80,29 @@ def test_modes_and_uniques(postings):
     # The hot occupation has one posting id only, so it does not qualify; the others do.
     roles = groups.qualified(postings, "onet_soc_code", "posting_id", 10, "n").collect()
     assert {r.onet_soc_code for r in roles} == {f"11-{i}" for i in range(7)}
+
+
+@pytest.mark.parametrize("steps", [1, 12])
+@pytest.mark.parametrize("ranges", [1, 7, 40])
+def test_lag_of_a_hot_series(spark, ranges, steps):
+    """Half of all rows are one series: cut into ranges, each row still finds the one before it."""
+    series = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 3 > 0, F.concat(F.lit("s"), (F.col("id") % 400).cast("string")))
+    rows = spark.range(0, 6000, 1, 8).select(series.alias("k"), (F.col("id") * 7919 % 6007).alias("t"), (F.col("id") % 97).alias("v"))
+    got = windows.with_prev(rows, "k", "t", {"before": "v"}, steps, ranges).collect()
+    by_key = defaultdict(list)
+    for r in rows.collect():
+        by_key[r.k].append((r.t, r.v))
+    want = Counter()
+    for k, members in by_key.items():
+        members.sort()
+        want.update((k, t, v, members[i - steps][1] if i >= steps else None) for i, (t, v) in enumerate(members))
+    assert Counter(tuple(r) for r in got) == want
+    places = windows.in_order(rows, ["k"], "t", ranges).groupBy(F.shiftright("__place", 33)).count().collect()
+    assert max(r["count"] for r in places) <= 3 * 6000 / ranges
+
+
+def test_lag_over_ranges_shorter_than_its_steps(spark):
+    rows = spark.range(0, 30).selectExpr("'a' AS k", "id AS t", "id AS v")
+    got = windows.with_prev(rows, "k", "t", {"before": "v"}, 12, 10).collect()
+    assert {(r.t, r.before) for r in got} == {(i, i - 12 if i >= 12 else None) for i in range(30)}
+    assert windows.with_prev(rows.limit(0), "k", "t", {"before": "v"}, 12, 10).count() == 0
