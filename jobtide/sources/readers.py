@@ -1,18 +1,20 @@
 """Raw feeds to flat tables.
 
-JSON payloads that span lines and CSV with quoted line breaks cannot be split inside a file, so
-there the file is the unit of parallel work; feeds land as many files of a few megabytes. All
-other CSV, TSV and Parquet is read in splits.
+JSON payloads that span lines cannot be split inside a file, so there the file is the unit of
+parallel work; feeds land as many files of a few megabytes. CSV, TSV and Parquet is read in
+splits, CSV also where quoted fields hold line breaks.
 """
 
 from __future__ import annotations
 
+import csv
 import re
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +22,7 @@ from jobtide.fixed_values import METRO_BRIDGE, METRO_KEY, METRO_VARIABLES, SKILL
 from jobtide.operators.joins import inline_mapping
 from jobtide.operators.reshape import dedup_keep_null
 from jobtide.operators.windows import earliest_first
+from jobtide.session import shared_folder
 from jobtide.sources.catalog import BRONZE, SEED_BRONZE, SEEDS, columns
 
 # --- parquet ------------------------------------------------------------------------------
@@ -157,25 +160,90 @@ def plain_path(path: str) -> str:
     return re.sub(r"^file:/+", "/", unquote(path))
 
 
-def _odd_quotes(lines: DataFrame) -> DataFrame:
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return lines.where(quotes % 2 == 1)
+# A quoted field without its closing quote, and a line that leaves one open, read from outside quotes.
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+'
+_OPENS = rf'(?:(?:{_QUOTED}"[^,]*+|[^",][^,]*+|),)*+{_QUOTED}\z'
+# The same, read from inside quotes.
+_STAYS = rf'[^"]*+(?:""[^"]*+)*+(?:\z|"[^,]*+,{_OPENS})'
+
+
+def _opens(line: Column) -> Column:
+    return line.contains('"') & line.rlike(rf"\A{_OPENS}")
+
+
+def _stays(line: Column) -> Column:
+    return ~line.contains('"') | line.rlike(rf"\A{_STAYS}")
+
+
+def _lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """(file, split, id, line) of text files; id orders the lines of a split."""
+    found = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(path)
+    return found.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("id"), F.make_valid_utf8("value").alias("line"))
 
 
 def spans_lines(spark: SparkSession, path: str) -> bool:
-    """Whether some quoted field of a CSV holds a line break.
+    """Whether some quoted field of a CSV, or of one in a folder, holds a line break. Reads in splits."""
+    return not _lines(spark, path, "*").where(_opens(F.col("line"))).isEmpty()
 
-    Such a field leaves an odd number of quotes on its first line; without any odd line every
-    record is one line and the file can be split. The check itself reads the file in splits.
-    """
-    return not _odd_quotes(spark.read.text(path)).isEmpty()
 
+def csv_files(spark: SparkSession, folder: str, pattern: str) -> list[Row]:
+    """(file, header, lines, spans) of every file below a folder in one job: first line, lines, line breaks in quotes."""
+    lines = _lines(spark, folder, pattern).where(F.trim("line") != "")
+    return lines.groupBy("file").agg(
+        F.min_by("line", F.struct("split", "id")).alias("header"), F.count("*").alias("lines"),
+        F.bool_or(_opens(F.col("line"))).alias("spans")).collect()
 
-def files_that_span_lines(spark: SparkSession, folder: str, pattern: str) -> set[str]:
-    """The files below a folder for which :func:`spans_lines` holds, found in one job."""
-    lines = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(folder)
-    found = _odd_quotes(lines.select("value", "_metadata.file_path")).select("file_path").distinct()
-    return {plain_path(row.file_path) for row in found.collect()}
+
+def csv_records(lines: DataFrame) -> DataFrame:
+    """Lines (file, split, id, line) to records (file, split, at, record) with their line breaks.
+
+    Whether a line begins inside quotes depends on all lines before it. A line keeps the state, turns it round or sets
+    it, so a split of a file is one such step too: each split is read for both states it may begin in, the few rows of
+    all splits tell which it is, and a record that began in an earlier split is put together by where it began. A file
+    of any size is as many tasks as it has splits. Lines that are no part of a longer record are not grouped.
+    """
+    inside, in_file = ["file", "split"], Window.partitionBy("file").orderBy("split")
+    upto = Window.partitionBy(*inside).orderBy("id")
+    before = upto.rowsBetween(Window.unboundedPreceding, -1)
+    opens, stays = _opens(F.col("line")), _stays(F.col("line"))
+    # state behind = last set value, or the state at the beginning, turned round as often as lines did so since
+    turns = lines.withColumns({"at": F.row_number().over(upto), "opens": opens, "stays": stays}).withColumn(
+        "turned", F.coalesce(F.sum(F.expr("int(opens AND NOT stays)")).over(before), F.lit(0)) % 2)
+    fixed = F.expr("CASE WHEN opens = stays THEN int(opens) ^ turned END")
+    known = turns.withColumn("fixed", F.last(fixed, ignorenulls=True).over(before))
+    state = lambda begin: F.coalesce("fixed", F.lit(begin)).bitwiseXOR(F.col("turned"))
+    ends = lambda begin: F.when(state(begin) == 1, F.col("stays")).otherwise(F.col("opens"))
+    starts = lambda begin: F.max(F.when(state(begin) == 0, F.col("at")))
+    splits = known.groupBy(*inside).agg(
+        F.max_by(ends(0), "at").alias("end0"), F.max_by(ends(1), "at").alias("end1"),
+        starts(0).alias("start0"), starts(1).alias("start1"))
+    # The same step from split to split.
+    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("turned", F.coalesce(F.sum(F.expr("int(end0 AND NOT end1)")).over(earlier), F.lit(0)) % 2)
+    splits = splits.withColumn("fixed", F.last(
+        F.expr("CASE WHEN end0 = end1 THEN int(end0) ^ turned END"), ignorenulls=True).over(earlier))
+    splits = splits.withColumn("begin", state(0))
+    last = F.when(F.expr("if(begin = 1, start1, start0) IS NOT NULL"), F.expr("struct(split, if(begin = 1, start1, start0) AS at)"))
+    splits = splits.select(*inside, "begin", F.last(last, ignorenulls=True).over(earlier).alias("carried"))
+
+    placed = known.join(splits, inside).withColumn("state", F.coalesce("fixed", "begin").bitwiseXOR(F.col("turned")))
+    begun = F.last(F.when(F.col("state") == 0, F.struct("split", "at")), ignorenulls=True).over(upto)
+    placed = placed.withColumn("key", F.coalesce(begun, "carried"))
+    alone = (F.col("state") == 0) & ~F.col("opens")
+    single = placed.where(alone & (F.trim("line") != "")).select("file", "split", "at", F.col("line").alias("record"))
+    parts = F.sort_array(F.collect_list(F.struct("split", "at", "line")))
+    longer = placed.where(~alone).groupBy("file", "key").agg(parts.alias("parts")).select(
+        "file", "key.split", "key.at", F.array_join(F.col("parts.line"), "\n").alias("record"))
+    return single.unionByName(longer)
+
+
+def header_names(header: str) -> list[str]:
+    """The field names in a header record; empty and repeated ones get their place."""
+    names = [name.replace("\u0000", "") for name in next(csv.reader([header]))]
+    lower = [name.lower() for name in names]
+    return [f"_c{i}" if not name else f"{name}{i}" if lower.count(name.lower()) > 1 else name for i, name in enumerate(names)]
 
 
 def csv_names(spark: SparkSession, path: str) -> list[str]:
@@ -184,30 +252,50 @@ def csv_names(spark: SparkSession, path: str) -> list[str]:
     return [name.replace("\u0000", "") for name in header]
 
 
+def _fields(raw: DataFrame, fields: Sequence[str], names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    # A scan that is pruned to some of the fields does not notice missing or surplus ones. The
+    # split therefore looks at all of them, with a condition that always holds.
+    touched = F.length(F.concat_ws("", *[f"`{n}`" for n in fields])) >= 0
+    good = raw.where(F.col("_bad").isNull() & touched).select(
+        *[F.regexp_replace(F.col(f"`{n}`"), "\u0000", "").alias(n) for n in names]
+    )
+    return good, raw.where(F.col("_bad").isNotNull() & touched).select("_bad")
+
+
+def parse_records(records: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Records to their fields, all text, and ``_bad``, the record if it has too few or too many of them."""
+    schema = columns(string=fields).add("_bad", T.StringType())
+    parsed = F.from_csv("record", ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema.fields),
+                        {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    return records.select(parsed.alias("r")).select("r.*")
+
+
 def read_csv_clean(spark: SparkSession, path: str, names: Sequence[str] | None = None,
                    multi_line: bool | None = None, header: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected raw lines) of a CSV.
+    """(good rows, rejected raw records) of a CSV, read in splits.
 
     Fields are named by the header, ``names`` picks some of them; without a header ``names`` are
     the fields in their order. Rows with too few or too many fields are rejected, NUL bytes
-    removed, undecodable bytes replaced. Unless ``multi_line`` is given, the file decides
-    whether it can be split.
+    removed, undecodable bytes replaced. ``multi_line`` tells whether quoted fields hold line
+    breaks; unless given, the file decides. If they do, records are cut out first (:func:`csv_records`).
     """
     if multi_line is None:
         multi_line = spans_lines(spark, path)
     fields = csv_names(spark, path) if header else list(names or [])
-    schema = columns(string=fields).add("_bad", T.StringType())
-    raw = spark.read.csv(
-        path, schema=schema, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad",
-        multiLine=multi_line, quote='"', escape='"',
-    )
-    # A scan that is pruned to some of the fields does not notice missing or surplus ones. The
-    # split therefore looks at all of them, with a condition that always holds.
-    touched = F.length(F.concat_ws("", *[f"`{n}`" for n in fields])) >= 0
-    good = raw.where(F.col("_bad").isNull() & touched).select(
-        *[F.regexp_replace(F.col(f"`{n}`"), "\u0000", "").alias(n) for n in names or fields]
-    )
-    return good, raw.where(F.col("_bad").isNotNull() & touched).select("_bad")
+    if multi_line:
+        records = csv_records(_lines(spark, path, "*"))
+        raw = parse_records(without_headers(records) if header else records, fields)
+    else:
+        raw = spark.read.csv(
+            path, schema=columns(string=fields).add("_bad", T.StringType()), header=header, mode="PERMISSIVE",
+            columnNameOfCorruptRecord="_bad", quote='"', escape='"')
+    return _fields(raw, fields, names or fields)
+
+
+def without_headers(records: DataFrame) -> DataFrame:
+    """All but the first record of every file."""
+    first = records.groupBy("file").agg(F.min(F.struct("split", "at")).alias("first"))
+    return records.join(first, "file").where(F.struct("split", "at") != F.col("first"))
 
 
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
@@ -239,29 +327,49 @@ def csv_to_parquet(spark: SparkSession, folder: str, out: str, skip: Sequence[st
     """Every CSV below ``folder`` to snappy parquet at the same place below ``out``.
 
     Broken rows go to ``out/_rejects`` under the same name. Skipped: listed file names and files
-    without any row. Returns (rows, rejected rows) by table written. A few files are converted
-    at a time; one pass over the folder has found out which of them can be split.
+    without any row. Returns (rows, rejected rows) by table written. One job looks at all files,
+    one cuts out the records of all those with line breaks in quotes; then a table is one write,
+    which counts its rows as it goes, and one more if it has rejects. A few tables are written at a time.
     """
     base = plain_path(folder).rstrip("/")
-    odd = files_that_span_lines(spark, folder, "*.csv")
-
-    def convert(path: str) -> tuple[str, tuple[int, int]] | None:
-        plain = plain_path(path)
-        stem = plain[plain.index(base) + len(base) + 1:].removesuffix(".csv")
-        good, bad = read_csv_clean(spark, path, multi_line=plain in odd)
-        table, rejects = f"{stem}.parquet", f"{out}/_rejects/{stem}.parquet"
-        rejected = bad.count()
-        if good.isEmpty() and not rejected:
-            return None
-        typed(good, (schemas or {}).get(stem.rsplit("/", 1)[-1])).write.mode("overwrite").option(
-            "compression", "snappy").parquet(f"{out}/{table}")
-        if rejected:
-            bad.write.mode("overwrite").parquet(rejects)
-        return table, (spark.read.parquet(f"{out}/{table}").count(), rejected)
-
-    wanted = [p for p in list_files(spark, folder, "*.csv") if plain_path(p).rsplit("/", 1)[-1] not in skip]
+    stem = lambda path: plain_path(path)[plain_path(path).index(base) + len(base) + 1:].removesuffix(".csv")
+    files = [f for f in csv_files(spark, folder, "*.csv") if plain_path(f.file).rsplit("/", 1)[-1] not in skip and f.lines > 1]
+    spanning = sorted(f.file for f in files if f.spans)
+    headers = {f.file: f.header for f in files if not f.spans}
+    if spanning:
+        numbers = F.create_map(*[F.lit(x) for i, file in enumerate(spanning) for x in (file, i)])
+        lines = _lines(spark, folder, "*.csv").where(F.col("file").isin(spanning))
+        cut = f"{shared_folder(spark)}/records-{uuid.uuid4().hex}"
+        csv_records(lines).withColumn("number", numbers[F.col("file")]).write.partitionBy("number").parquet(cut)
+        records = spark.read.schema("file string, split bigint, at int, record string, number int").parquet(cut)
+        place = F.struct("split", "at")
+        found = records.groupBy("file").agg(F.min_by("record", place).alias("header"), F.min(place).alias("first"), F.count("*").alias("n"))
+        first = {r.file: r for r in found.where("n > 1").collect()}
+        headers |= {file: r.header for file, r in first.items()}
+        files = [f for f in files if f.file in headers]
+
+    def convert(file: Row) -> tuple[str, tuple[int, int]] | None:
+        name, fields = stem(file.file), header_names(headers[file.file])
+        if file.spans:
+            split, at = first[file.file].first
+            body = records.where(F.col("number") == spanning.index(file.file)).where(f"NOT (split = {split} AND at = {at})")
+            raw = parse_records(body, fields)
+        else:
+            raw = spark.read.csv(
+                plain_path(file.file), schema=columns(string=fields).add("_bad", T.StringType()), header=True, mode="PERMISSIVE",
+                columnNameOfCorruptRecord="_bad", quote='"', escape='"')
+        counts = Observation()
+        counted = raw.observe(counts, F.count(F.when(F.col("_bad").isNull(), 1)).alias("good"), F.count("_bad").alias("bad"))
+        good, _ = _fields(counted, fields, fields)
+        typed(good, (schemas or {}).get(name.rsplit("/", 1)[-1])).write.mode("overwrite").option(
+            "compression", "snappy").parquet(f"{out}/{name}.parquet")
+        found = counts.get
+        if found["bad"]:
+            _fields(raw, fields, fields)[1].write.mode("overwrite").parquet(f"{out}/_rejects/{name}.parquet")
+        return f"{name}.parquet", (found["good"], found["bad"])
+
     with ThreadPoolExecutor(side_by_side) as pool:
-        return dict(done for done in pool.map(convert, wanted) if done)
+        return dict(pool.map(convert, sorted(files, key=lambda f: f.file)))
 
 
 def file_schemas() -> dict[str, T.StructType]:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import json
 import os
+import random
 
 import pytest
 
@@ -114,6 +117,73 @@ def test_csv_to_parquet_rejects_broken_rows(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out/lines.parquet").first()["y"] == "two\nlines"
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Files are cut every few bytes, so that bounds lie in quotes, line breaks and headers."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    old = {n: spark.conf.get(n, None) for n in names}
+    for n, value in zip(names, ("37", "0", "1")):
+        spark.conf.set(n, value)
+    yield
+    for n, value in old.items():
+        spark.conf.set(n, value) if value is not None else spark.conf.unset(n)
+
+
+def random_csv(seed: int) -> str:
+    draw = random.Random(seed)
+    fields = ["", "plain", "two\nlines", 'say "yes"', '"', '""', "a,b", "\n", "é\n\n😀", 'x"\n"y', "tail\n", ",", '",\n"', "long " * 12]
+    out = io.StringIO()
+    write = csv.writer(out, quoting=draw.choice([csv.QUOTE_MINIMAL, csv.QUOTE_ALL]), lineterminator=draw.choice(["\n", "\r\n"]))
+    write.writerow(["id", "first name", "b\nc"])
+    for i in range(40):
+        row = [str(i), draw.choice(fields), draw.choice(fields)]
+        write.writerow(row[:2] if i % 11 == 5 else [*row, "more"] if i % 13 == 7 else row)
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_records_over_many_splits(spark, tmp_path, small_splits, seed):
+    text = random_csv(seed)
+    path = f"{tmp_path}/c.csv"
+    with open(path, "w", newline="", encoding="utf-8") as out:
+        out.write(text)
+    rows = list(csv.reader(io.StringIO(text.replace("\r\n", "\n"))))
+    lines = readers._lines(spark, path, "*")
+    assert lines.select("split").distinct().count() > 10
+    assert readers.spans_lines(spark, path)
+    records = [r.record for r in readers.csv_records(lines).orderBy("split", "at").collect()]
+    assert [next(csv.reader(io.StringIO(r, newline=""))) for r in records] == rows
+    written = readers.csv_to_parquet(spark, str(tmp_path), f"{tmp_path}/out")
+    good = [r for r in rows[1:] if len(r) == 3]
+    assert written == {"c.parquet": (len(good), len(rows) - 1 - len(good))}
+    table = spark.read.parquet(f"{tmp_path}/out/c.parquet")
+    assert table.columns == ["id", "first name", "b\nc"]
+    got = sorted(tuple(v or "" for v in r) for r in table.collect())
+    assert [g[0] for g in got] == sorted(r[0] for r in good)
+    assert got == sorted(map(tuple, good))
+
+
+def test_stray_quotes_leave_no_field_open(spark, tmp_path):
+    path = write(f"{tmp_path}/c.csv", 'id,size\n1,5" x\n2,"a\nb" c\n3,x "y\n4,""\n')
+    good, bad = readers.read_csv_clean(spark, path, multi_line=True)
+    assert good.count() == 4 and bad.count() == 0
+    assert not readers.spans_lines(spark, write(f"{tmp_path}/d.csv", 'id,size\n1,5" x\n3,x "y\n'))
+
+
+def test_jobs_of_a_conversion_do_not_chain(spark, tmp_path):
+    """One look at the folder and one cut of records, then a job per table."""
+    for folder, files in (("few", 2), ("many", 9)):
+        for i in range(files):
+            write(f"{tmp_path}/{folder}/t{i}.csv", 'x,y\n1,"two\nlines"\n' if i % 2 else "x,y\n1,2\n")
+    jobs = {}
+    tracker = spark.sparkContext.statusTracker()
+    for folder, files in (("few", 2), ("many", 9)):
+        before = len(tracker.getJobIdsForGroup())
+        assert len(readers.csv_to_parquet(spark, f"{tmp_path}/{folder}", f"{tmp_path}/out/{folder}")) == files
+        jobs[folder] = len(tracker.getJobIdsForGroup()) - before
+    assert jobs["many"] - jobs["few"] <= 9 - 2
+
+
 def test_csv_names_come_from_the_header(spark, tmp_path):
     path = write(f"{tmp_path}/c.csv", "c,b,a\n1,2,3\n")
     good, _ = readers.read_csv_clean(spark, path, ["a", "b"])
