@@ -127,8 +127,12 @@ def first_shingles(sets: DataFrame, percent: int) -> DataFrame:
     common = tokens.groupBy("token").agg(F.count("*").alias("df"))
     rare_first = Window.partitionBy("node").orderBy("df", "token")
     placed = tokens.join(common, "token").withColumn("at", F.row_number().over(rare_first) - 1)
-    # n - at shingles are left from there, and percent of n must be shared
-    return placed.where(f"df > 1 AND 100 * (n - at) >= {percent} * n").select("token", "node", "n", "at")
+    # n - at shingles are left from there, and percent of n must be shared.
+    near = placed.where(f"df > 1 AND 100 * (n - at) >= {percent} * n").select("token", "node", "n", "at")
+    # More of them, if no set in the list is so small that it could be as alike as that.
+    smallest = near.groupBy("token").agg(F.min("n").alias("smallest"))
+    return near.join(smallest, "token").where(
+        f"{100 + percent} * (n - at) >= {percent} * (n + greatest(smallest, ceil({percent} * n / 100.0)))").drop("smallest")
 
 
 def links(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, shingle: int, percent: int) -> DataFrame:
