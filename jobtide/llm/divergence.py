@@ -5,8 +5,9 @@ number of times have the same smoothed share there, so a group is a few levels,
 groups AND and popcount of a level of each give the number of terms in that joint cell, which is multiplied by the
 difference of the two shares; terms a group lacks are the complement of its levels.
 
-Ids are dense within chunks of about 1,024 terms of like frequency, where levels are few. A task handles one chunk of
-two blocks of about 32 groups, so it holds a bounded part of any language, however many sources and terms that has.
+Ids are dense within chunks of about 512 terms of like frequency, and bitsets are words of 64 ids, so that a word has
+few levels. A task handles one chunk of two blocks of about 32 groups, so it holds a bounded part of any language,
+however many sources and terms that has.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from jobtide.llm.common import saved
 
 TERM = re.compile(rb"[a-z\x80-\xff]+")  # of lower-cased UTF-8: all but ASCII without its letters
 SCALE, ADDED = 1_000_000_000, 5
-CHUNK, BLOCK = 1024, 32
+CHUNK, BLOCK = 512, 32
 _FLUSH = 1 << 17  # terms that a task counts before it passes them on
 
 
@@ -79,42 +80,48 @@ def kept_terms(counts: DataFrame, least_docs: int) -> DataFrame:
     return dealt.select("lang", "term", "total", "chunk", place.alias("place"))
 
 
-def _levels(rows: dict, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shares, bitsets) of one group in a chunk of n terms, the absent terms as the last level."""
+def level_bitsets(group: np.ndarray, rows: dict, n: int, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bitsets, shares) of the levels of all groups in a chunk of n terms, by group, word of 64 terms and level.
+
+    The last level has the terms that a group lacks, the complement of its others.
+    """
     words = -(-n // 64)
-    shares = np.unique(rows["p"][rows["word"] >= 0])
-    bits = np.zeros((len(shares) + 1, words), np.uint64)
     here = rows["word"] >= 0
-    np.bitwise_or.at(bits, (np.searchsorted(shares, rows["p"][here]), rows["word"][here]), rows["bits"][here].view(np.uint64))
+    at, word, p = group[here], rows["word"][here], rows["p"][here]
+    order = np.lexsort((p, word, at))
+    place = (at * words + word)[order]
+    nth = np.arange(len(place)) - np.searchsorted(place, place)  # of the levels in its group and word
+    levels = int(nth.max(initial=-1)) + 2
+    bits, shares = np.zeros((groups, words, levels), np.uint64), np.zeros((groups, words, levels), np.int64)
+    bits[at[order], word[order], nth] = rows["bits"][here][order].view(np.uint64)
+    shares[at[order], word[order], nth] = p[order]
     whole = np.full(words, ~np.uint64(0))
     if n % 64:
         whole[-1] = np.uint64((1 << n % 64) - 1)
-    bits[-1] = whole & ~np.bitwise_or.reduce(bits[:-1], axis=0)
-    return np.append(shares, rows["p"][~here][0]), bits
-
-
-def joint(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> int:
-    """The sum of |p - q| over the terms of a chunk, from the joint cells of two groups' levels."""
-    cells = np.bitwise_count(left[1][:, None, :] & right[1][None, :, :]).sum(axis=2, dtype=np.int64)
-    return int((cells * np.abs(left[0][:, None] - right[0][None, :])).sum())
+    bits[:, :, -1] = whole & ~np.bitwise_or.reduce(bits[:, :, :-1], axis=2)
+    shares[group[~here], :, -1] = rows["p"][~here][:, None]
+    return bits, shares
 
 
 def _tile(table: pa.Table) -> pa.Table:
     """The part of one chunk in the distances between the groups of two blocks (or within one)."""
-    columns = {c: table.column(c).to_numpy() for c in ("p", "word", "bits", "block", "lo", "hi")}
-    sources = np.array(table.column("source").to_pylist(), object)
-    names, at = np.unique(sources, return_inverse=True)
-    order = np.argsort(at, kind="stable")
-    bounds = np.searchsorted(at[order], np.arange(len(names) + 1))
-    groups = []
-    for i, name in enumerate(names):
-        rows = {c: columns[c][order[bounds[i]:bounds[i + 1]]] for c in ("p", "word", "bits", "block")}
-        n = int(rows["bits"][rows["word"] < 0][0])  # the row without a word tells the share of absent terms and n
-        groups.append((name, int(rows["block"][0]), _levels(rows, n)))
-    lo, hi = int(columns["lo"][0]), int(columns["hi"][0])
-    left = [g for g in groups if g[1] == lo]
-    right = [g for g in groups if g[1] == hi]
-    found = [(a, b, joint(x, y)) for i, (a, _, x) in enumerate(left) for b, _, y in (left[i + 1:] if lo == hi else right)]
+    rows = {c: table.column(c).to_numpy() for c in ("p", "word", "bits", "block")}
+    names, group = np.unique(np.array(table.column("source").to_pylist(), object), return_inverse=True)
+    n = int(rows["bits"][rows["word"] < 0][0])  # a row without a word tells the share of absent terms and n
+    bits, shares = level_bitsets(group, rows, n, len(names))
+    block = np.zeros(len(names), np.int64)
+    block[group] = rows["block"]
+    lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+    found = []
+    for i in np.flatnonzero(block == lo):
+        others = np.flatnonzero(block == hi)
+        others = others[others > i] if lo == hi else others
+        if not len(others):
+            continue
+        # All joint cells of a level of one group and a level of another, and the difference of their shares.
+        cells = np.bitwise_count(bits[i][None, :, :, None] & bits[others][:, :, None, :])
+        apart = np.abs(shares[i][None, :, :, None] - shares[others][:, :, None, :])
+        found += zip([names[i]] * len(others), names[others], np.einsum("owij,owij->o", cells, apart, dtype=np.int64).tolist())
     lang = table.column("lang")[0].as_py()
     return pa.table({"lang": pa.array([lang] * len(found), pa.string()), "source": pa.array([f[0] for f in found], pa.string()),
                      "item": pa.array([f[1] for f in found], pa.string()), "value": pa.array([f[2] for f in found], pa.int64())})
