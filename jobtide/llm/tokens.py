@@ -7,6 +7,7 @@ pages have a given size, and Parquet's page indexes let a reader with a filter o
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -20,10 +21,14 @@ from pyspark.sql.window import Window
 
 from jobtide.llm.common import shared_path, worker_state
 
-CACHED_WORDS = 600_000  # words whose ids a worker remembers; only speed depends on it
+CACHED_WORDS = 400_000  # words of one generation that a worker remembers; only speed depends on it
 FLUSH_IDS = 1 << 20     # ids in an Arrow batch, more only within one document
 
 
+# A-Z before UTF-8 that begins no letter of the Latin, Greek, Cyrillic blocks and no general punctuation.
+_MARKED = re.compile(rb"[A-Z](?:[\xcc\xcd\xd2\xd6-\xe1\xe3-\xf4]|\xe2(?!\x80))")
+
+
 class Encoder:
     """Encodes texts word by word and remembers the ids of words, as the bytes of 32-bit integers.
 
@@ -41,6 +46,7 @@ class Encoder:
         if self.tokenizer is None:
             self.tokenizer = Tokenizer.from_str(config)
             worker_state()[key] = (self.tokenizer, self.known)
+        self.older = worker_state().setdefault(f"older-{key}", {})
         self.whole = whole
 
     def __call__(self, text: str, end_id: int | None) -> np.ndarray:
@@ -49,21 +55,29 @@ class Encoder:
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
             return np.frombuffer(ids.tobytes() + end, "<u4")
         raw = text.encode("utf-8", "replace")
-        words = (raw if b"<|" in raw else raw.lower()).split()  # special tokens keep their case
-        known = self.known
+        # Special tokens keep their case, and letters that a mark may follow are left to the tokenizer: lower-casing
+        # them before it composes the two could give another letter.
+        words = (raw if b"<|" in raw or _MARKED.search(raw) else raw.lower()).split()
+        known, older = self.known, self.older
         new = set(words).difference(known)
         if new:
-            if len(known) + len(new) > CACHED_WORDS:
+            if len(known) + len(new) > CACHED_WORDS:  # what was met since the last time stays, the rest goes
+                older.clear()
+                older.update(known)
                 known.clear()
                 new = set(words)
-            self._learn(new)
+            met = new.intersection(older)
+            known.update(zip(met, map(older.__getitem__, met)))
+            if len(met) < len(new):
+                self._learn(new - met)
         return np.frombuffer(b"".join([*map(known.__getitem__, words), end]), "<u4")
 
     def _learn(self, words: set[bytes]) -> None:
         split = {}
         for word in words:
             core = word.rstrip(b".,;:!?")
-            if len(core) < len(word) and core.decode().isalpha():
+            # A capital may become a letter and a mark, which goes with the punctuation: letters in lower case count.
+            if len(core) < len(word) and core.decode().lower().isalpha():
                 split[word] = core, word[len(core):]
         needed = [w for w in {*(words - split.keys()), *(p for pair in split.values() for p in pair)} if w not in self.known]
         texts = [w.decode() for w in needed]

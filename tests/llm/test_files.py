@@ -9,6 +9,7 @@ import os
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from jobtide.llm.mixing import hypergeometric, mix, mixed_sizes, placements, ranked, split_quotas, targets
-from jobtide.llm.tokens import checksums, token_index, tokenized, write_tokens
+from jobtide.llm import tokens
+from jobtide.llm.tokens import Encoder, checksums, token_index, tokenized, write_tokens
 from jobtide.llm.topk import nearest
 from jobtide.llm.warc import archived, read_archive, write_archive
 
@@ -102,6 +104,26 @@ def test_words_encode_as_the_whole_text_does(spark):
     assert part == {r.doc_id: r.ids_crc32 for r in tokenized(df, TOKENIZER, whole=True).collect()}
 
 
+def test_odd_words_encode_as_the_whole_text_does():
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    encode, draw = Encoder(Path(TOKENIZER).read_text()), random.Random(4)
+    parts = [*"abZIJHTWYKs1-'<|.,;:!?", "\u0130", "\u0131", "\xdf", "\u03a3", "\u03c2", "\xc9", "e\u0301", "\u0307", "\u030c", "\u0331", "\u0308",
+             "\u01c4", "\ufb01", "\u212b", "\u1e9e", "\u3099", "\u304b", "\u0483", "\u05d0", "\u200d", "\u2019", "\U0001f600", "\u0e33", "\u20d7"]
+    texts = [i + p for i in ("\u0130", "I\u0307", "J\u030c") for p in ".,;:!?"]
+    for _ in range(12000):
+        words = ["".join(draw.choices(parts, k=draw.randint(1, 5))) + draw.choice(["", "", ".", "?", "?!"]) for _ in range(2)]
+        texts.append(" ".join(words))
+    for text in texts:
+        assert encode(text, None).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def test_words_of_two_generations_stay(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_WORDS", 5)
+    tokenizer, encode = Tokenizer.from_file(TOKENIZER), Encoder(Path(TOKENIZER).read_text() + " ")
+    for text in ["a b c d", "a b e f", "g h a", "i j k l m n o p", "a b", "", "c d e. f? g!"] * 3:
+        assert encode(text, None).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def brute_nearest(rows, every, k):
     usable = {}
     for i, v in rows:
