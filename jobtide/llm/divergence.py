@@ -34,15 +34,14 @@ def term_counts(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict = defaultdict(lambda: (Counter(), Counter()))
 
-        def passed_on() -> pa.RecordBatch:
-            rows = [(*group, term, count, there[term]) for group, (counts, there) in found.items()
-                    for term, count in counts.items()]
+        def passed_on() -> Iterator[pa.RecordBatch]:
+            for (one, other), (counts, there) in found.items():
+                terms = list(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(one, pa.string()), len(terms)), pa.repeat(pa.scalar(other, pa.string()), len(terms)),
+                     pa.array(terms, pa.binary()).cast(pa.string()), pa.array(counts.values(), pa.int64()),
+                     pa.array(map(there.__getitem__, terms), pa.int64())], ["lang", "source", "term", "count", "docs"])
             found.clear()
-            columns = list(zip(*rows)) or [(), (), (), (), ()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()),
-                 pa.array(columns[2], pa.binary()).cast(pa.string()), pa.array(columns[3], pa.int64()),
-                 pa.array(columns[4], pa.int64())], ["lang", "source", "term", "count", "docs"])
 
         held = 0
         for batch in batches:
@@ -53,9 +52,9 @@ def term_counts(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame
                 there.update(set(terms))
                 held += len(counts) - before
                 if held > _FLUSH:
-                    yield passed_on()
+                    yield from passed_on()
                     held = 0
-        yield passed_on()
+        yield from passed_on()
 
     filled = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     picked = docs.select(filled(lang).alias("lang"), filled(source).alias("source"), filled(text).cast("binary").alias("text"))
