@@ -52,7 +52,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str
     running = Window.partitionBy("_label").orderBy("_bin")
     last = keys.groupBy("_label", "_bin").agg(F.count("*").alias("_m")).withColumn("_m", F.sum("_m").over(running)).groupBy(
         "_label").agg(F.coalesce(F.min(F.when(F.col("_m") >= per_language, F.col("_bin"))), F.max("_bin")).alias("_last"))
-    keys = keys.join(last, "_label").where("_bin <= _last")
+    # A row per language, as many as the model has: most rows go here, before any is dealt by its label.
+    keys = keys.join(F.broadcast(last), "_label").where("_bin <= _last")
     order = Window.partitionBy("_label").orderBy("_over", "_hash", "_id")
     keys = keys.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language).select("_id", "_label", "_over")
     picked = saved(keys.distinct(), "keys")
