@@ -408,12 +408,15 @@ def inner_on(spark, d):
 
 @query("""
 SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, n FROM lineitem JOIN (
-  SELECT l_orderkey, l_partkey, l_suppkey, l_linestatus, count(*) AS n FROM lineitem
-  WHERE l_returnflag = 'A' GROUP BY ALL) USING (l_orderkey, l_partkey, l_suppkey, l_linestatus)""")
+  SELECT l_orderkey, l_partkey, l_suppkey, if(l_returnflag = 'A', l_linestatus, l_returnflag) AS l_linestatus,
+    count(*) AS n
+  FROM lineitem GROUP BY ALL) USING (l_orderkey, l_partkey, l_suppkey, l_linestatus)""")
 def inner_on_four_keys(spark, d):
     keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linestatus"]
     lines = s.table(spark, d, "lineitem")
-    returned = groups.group_stats(lines.where(F.col("l_returnflag") == "A"), keys, n=F.count(F.lit(1)))
+    # Lines that were not returned keep their return flag as status, which no line has.
+    status = F.when(F.col("l_returnflag") == "A", F.col("l_linestatus")).otherwise(F.col("l_returnflag"))
+    returned = groups.group_stats(lines.withColumn("l_linestatus", status), keys, n=F.count(F.lit(1)))
     return joins.inner_on(lines, returned, keys).select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "n")
 
 
@@ -483,28 +486,33 @@ def geo_match(spark, d):
 @query("""
 SELECT coalesce(a.p_brand, b.p_brand) AS p_brand, coalesce(a.p_name, b.p_name) AS p_name,
   a.p_name IS NOT NULL AS listed, b.p_name IS NOT NULL AS sold, n
-FROM (SELECT DISTINCT p_brand, p_name FROM part WHERE p_size > 25) a
-FULL JOIN (SELECT p_brand, p_name, count(*) AS n FROM part JOIN lineitem ON l_partkey = p_partkey
-  WHERE p_size < 40 GROUP BY ALL) b ON a.p_brand = b.p_brand AND a.p_name = b.p_name""")
+FROM (SELECT DISTINCT p_brand, if(p_size > 25, p_name, 'small ' || p_name) AS p_name FROM part) a
+FULL JOIN (SELECT p_brand, if(p_size < 40, p_name, 'large ' || p_name) AS p_name, count(*) AS n
+  FROM part JOIN lineitem ON l_partkey = p_partkey GROUP BY ALL) b ON a.p_brand = b.p_brand AND a.p_name = b.p_name""")
 def compare_sets(spark, d):
     part = s.table(spark, d, "part")
     keys = ["p_brand", "p_name"]
-    sold = s.table(spark, d, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).where("p_size < 40")
+    # Each side names some parts in a way of its own, so both have keys that the other lacks.
+    listed = part.withColumn("p_name", F.expr("if(p_size > 25, p_name, 'small ' || p_name)"))
+    sold = s.table(spark, d, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).withColumn(
+        "p_name", F.expr("if(p_size < 40, p_name, 'large ' || p_name)"))
     return joins.compare_sets(
-        part.where("p_size > 25").select(*keys).distinct(),
+        listed.select(*keys).distinct(),
         groups.group_stats(sold, keys, n=F.count(F.lit(1))), keys, "listed", "sold")
 
 
 @query("""
-SELECT c_nationkey AS nation, c_mktsegment AS who, c_custkey AS id FROM customer UNION ALL
-SELECT s_nationkey, 'supplier', s_suppkey FROM supplier
-WHERE s_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_nationkey < 12) AND s_nationkey > 3""".replace(
-    "FROM customer UNION", "FROM customer WHERE c_nationkey < 12 UNION"))
+WITH a AS (SELECT if(c_nationkey < 12, c_nationkey, 100 + c_nationkey) AS nation, c_mktsegment AS who, c_custkey AS id FROM customer),
+b AS (SELECT if(s_nationkey > 3, s_nationkey, 200 + s_nationkey) AS nation, 'supplier' AS who, s_suppkey AS id FROM supplier)
+FROM a UNION ALL SELECT * FROM b WHERE nation NOT IN (SELECT nation FROM a)""")
 def prefer_source(spark, d):
-    first = s.table(spark, d, "customer").where("c_nationkey < 12").select(
-        F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("who"), F.col("c_custkey").alias("id"))
-    second = s.table(spark, d, "supplier").where("s_nationkey > 3").select(
-        F.col("s_nationkey").alias("nation"), F.lit("supplier").alias("who"), F.col("s_suppkey").alias("id"))
+    # Each side has some nations under numbers of its own.
+    first = s.table(spark, d, "customer").select(
+        F.expr("if(c_nationkey < 12, c_nationkey, 100 + c_nationkey)").alias("nation"),
+        F.col("c_mktsegment").alias("who"), F.col("c_custkey").alias("id"))
+    second = s.table(spark, d, "supplier").select(
+        F.expr("if(s_nationkey > 3, s_nationkey, 200 + s_nationkey)").alias("nation"),
+        F.lit("supplier").alias("who"), F.col("s_suppkey").alias("id"))
     return joins.prefer_source(first, second, "nation")
 
 
@@ -554,12 +562,12 @@ def attach_ratings(spark, d):
 
 @query("""
 SELECT o_orderkey, o_orderstatus, n FROM orders
-LEFT JOIN (SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus <> 'P'
+LEFT JOIN (SELECT if(o_orderstatus = 'P', 'pending', o_orderstatus) AS o_orderstatus, count(*) AS n FROM orders
   GROUP BY 1) USING (o_orderstatus)""")
 def attach_totals(spark, d):
     orders = s.table(spark, d, "orders")
-    low = orders.where("o_orderpriority = '5-LOW' AND o_orderstatus <> 'P'")
-    totals = groups.group_stats(low, "o_orderstatus", n=F.count(F.lit(1)))
+    renamed = orders.withColumn("o_orderstatus", F.expr("if(o_orderstatus = 'P', 'pending', o_orderstatus)"))
+    totals = groups.group_stats(renamed, "o_orderstatus", n=F.count(F.lit(1)))
     return joins.attach_totals(orders.select("o_orderkey", "o_orderstatus"), totals, "o_orderstatus")
 
 

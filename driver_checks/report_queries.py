@@ -24,7 +24,7 @@ MARTS = [
 ]
 
 
-def _all_marts(spark, d):
+def all_marts(spark, d):
     return {f"gold_{n}": t.QUERIES[n](spark, d) for n in MARTS}
 
 
@@ -59,7 +59,7 @@ def quality_report(spark, d):
 
 
 def quality_of_marts(spark, d):
-    return quality.quality_report(_all_marts(spark, d))
+    return quality.quality_report(all_marts(spark, d))
 
 
 def failing_rows(check, column, values=None):
@@ -80,7 +80,7 @@ QUERIES = {
     "report_metro_table": lambda k, d: reports.metro_table(t.metro_comparison(k, d)),
     "report_gap_summary": lambda k, d: reports.gap_summary(t.occupation_skills_profile(k, d)),
     "report_emerging_skills": lambda k, d: reports.emerging_skills(t.occupation_skills_profile(k, d)),
-    "report_row_counts": lambda k, d: reports.mart_row_counts(_all_marts(k, d)),
+    "report_row_counts": lambda k, d: reports.mart_row_counts(all_marts(k, d)),
     "report_key_figures": lambda k, d: reports.key_figures(t.market_snapshot(k, d)),
     "report_coverage": lambda k, d: reports.coverage_by_source(t.market_snapshot(k, d)),
     "report_occupation_group": lambda k, d: reports.occupation_group(t.role_analysis(k, d), "15"),

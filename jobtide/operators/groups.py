@@ -13,6 +13,7 @@ from jobtide.functions.dates import month_start
 from jobtide.functions.text import not_blank
 from jobtide.operators.joins import Keys, as_list, join_null_safe
 from jobtide.operators.windows import top_k_per_group
+from jobtide.session import written
 
 # How values are cut into buckets, see exact_percentiles: the low bits of an INT, else splitters.
 _LOW_BITS = 16
@@ -42,6 +43,44 @@ def distinct_count(df: DataFrame, keys: Keys, column: str | Column, name: str) -
     return group_stats(pairs, keys, **{name: F.count(F.lit(1))})
 
 
+def dense_ids(values: DataFrame, value: str, parts: int = 64) -> DataFrame:
+    """(value, id) of the distinct non-NULL values, ids from 0 without gaps.
+
+    Values are numbered within parts by hash and the parts one after another, so no task has all of them; take as many
+    parts that one fits a task.
+    """
+    once = values.select(F.col(value).alias("value")).where(F.col("value").isNotNull()).distinct()
+    dealt = once.withColumn("__part", F.pmod(F.xxhash64("value"), F.lit(parts)))
+    placed = dealt.withColumn("__at", F.row_number().over(Window.partitionBy("__part").orderBy("value")))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
+    sizes = dealt.groupBy("__part").agg(F.count("*").alias("__n"))
+    starts = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    return placed.join(F.broadcast(starts), "__part").select("value", (F.col("__start") + F.col("__at") - 1).alias("id"))
+
+
+def distinct_bitmaps(df: DataFrame, keys: Keys, value: str, ids: DataFrame) -> DataFrame:
+    """(keys, bucket, bits): which values of ``ids`` (value, id) each key has, as bitmaps of 32,768 ids.
+
+    Unlike counts of distinct values, bitmaps add up: :func:`merge_bitmaps` gives those of fewer keys, or of more
+    rows, without the values.
+    """
+    keys = as_list(keys)
+    pairs = df.select(*keys, F.col(value).alias("value")).where(F.col("value").isNotNull()).distinct()
+    marked = pairs.join(ids, "value")
+    return marked.groupBy(*keys, F.bitmap_bucket_number("id").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits"))
+
+
+def merge_bitmaps(bitmaps: DataFrame, keys: Keys) -> DataFrame:
+    """Bitmaps of ``keys``, some of those that the given ones have."""
+    return bitmaps.groupBy(*as_list(keys), "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def bitmap_counts(bitmaps: DataFrame, keys: Keys, name: str) -> DataFrame:
+    """The exact number of distinct values per key."""
+    return bitmaps.groupBy(*as_list(keys)).agg(F.sum(F.bitmap_count("bits")).alias(name))
+
+
 def _with_buckets(counts: DataFrame, keys: list[str], kind: T.DataType) -> DataFrame:
     """counts (keys, __v, __n) with a ``__bucket`` that rises with the value.
 
@@ -197,6 +236,34 @@ def most_common(kind: str) -> Column:
     return F.max(F.when((F.col("kind") == kind) & (F.col("rank") == 1), F.col("value")))
 
 
+def frequent_values(df: DataFrame, keys: Keys, column: str, k: int, buckets: int = 4096) -> DataFrame:
+    """(keys, value, n, rank): the ``k`` most frequent values per key, as :func:`value_ranks` gives them.
+
+    Values are first counted by hash bucket, which bounds their counts from above and shuffles a few numbers however
+    many different values there are. The values of each key's ``k`` fullest buckets are counted; the ``k``-th of these
+    counts bounds the result from below, and only buckets that reach it are counted as well. Rare names, usually most
+    of all, are never shuffled. Ties go to the smaller value.
+    """
+    keys = as_list(keys)
+    rows = df.select(*keys, F.col(column).alias("value")).where(not_blank(F.col("value"))).withColumn(
+        "__bucket", F.pmod(F.xxhash64("value"), F.lit(buckets)))
+    at_most = written(rows.groupBy(*keys, "__bucket").agg(F.count("*").alias("__most")), "buckets")
+    order = [F.col("n").desc(), F.col("value").asc()]
+
+    def counted(chosen: DataFrame) -> DataFrame:
+        picked = join_null_safe(rows, chosen.select(*keys, "__bucket"), [*keys, "__bucket"], "left_semi")
+        return picked.groupBy(*keys, "value").agg(F.count("*").alias("n"))
+
+    full = top_k_per_group(at_most, keys, [F.col("__most").desc(), F.col("__bucket").asc()], k, rank="__at")
+    first = written(counted(full), "counted")
+    bound = top_k_per_group(first, keys, order, k, rank="__at").where(F.col("__at") == k).select(*keys, F.col("n").alias("__least"))
+    reach = join_null_safe(at_most, bound, keys).select(*at_most.columns, "__least")
+    # Without a bound a key has fewer than k values in its fullest buckets, and all its buckets count.
+    reach = reach.where(F.coalesce(F.col("__most") >= F.col("__least"), F.lit(True)))
+    rest = join_null_safe(reach, full.select(*keys, "__bucket"), [*keys, "__bucket"], "left_anti")
+    return top_k_per_group(first.unionByName(counted(rest)), keys, order, k, rank="rank")
+
+
 def mode_per_group(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     best = value_ranks(df, key, [value], 1)
     return best.select(key, F.col("value").alias(name))

@@ -124,14 +124,24 @@ def geo_match(df: DataFrame, places: DataFrame, part_1: str, part_2: str,
 
 def compare_sets(left: DataFrame, right: DataFrame, keys: Keys, in_left: str,
                  in_right: str) -> DataFrame:
-    """Full outer join with one flag per side telling whether it has the key."""
+    """Full outer join with one flag per side telling whether it has the key.
+
+    Adaptive execution splits no full outer join, so a key with very many rows would be one task. Matched rows and
+    those of one side alone are three joins here, which it can split; the keys of the other side are made distinct
+    before they are dealt.
+    """
     keys = as_list(keys)
-    marked_left = left.withColumn(in_left, F.lit(True))
-    marked_right = right.withColumn(in_right, F.lit(True))
-    both = marked_left.join(marked_right, keys, "full")
-    return both.withColumns(
-        {flag: F.coalesce(F.col(flag), F.lit(False)) for flag in (in_left, in_right)}
-    )
+    flags = lambda has_left, has_right: {in_left: F.lit(has_left), in_right: F.lit(has_right)}
+    both = left.join(right, keys).withColumns(flags(True, True))
+
+    def alone(side: DataFrame, other: DataFrame) -> DataFrame:
+        return side.join(other.select(*keys).distinct(), keys, "left_anti")
+
+    only_left = alone(left, right).withColumns(flags(True, False))
+    only_right = alone(right, left).withColumns(flags(False, True))
+    columns = [*keys, *[c for c in left.columns if c not in keys], in_left, *[c for c in right.columns if c not in keys], in_right]
+    return both.unionByName(only_left, allowMissingColumns=True).unionByName(
+        only_right, allowMissingColumns=True).select(*[F.col(f"`{c}`") for c in columns])
 
 
 def prefer_source(primary: DataFrame, secondary: DataFrame, keys: Keys) -> DataFrame:

@@ -83,23 +83,30 @@ def market_snapshot(postings: DataFrame) -> DataFrame:
     )
 
 
-def market_trends(postings: DataFrame) -> DataFrame:
-    """Month × source for sources with a real time axis, with change on the month before.
+_TREND_KEYS = ["report_month", "data_source"]
 
-    Months below the posting minimum are removed before the comparison, so a month compares
-    with the last month that is shown.
-    """
-    keys = ["report_month", "data_source"]
+
+def trend_months(postings: DataFrame, least: int = 1) -> DataFrame:
+    """Volume and salaries per month × source with ``least`` postings, for sources with a real time axis."""
     dated = postings.where(F.col("posted_at").isNotNull() & ~F.col("is_snapshot")).withColumn(
         "report_month", month_start(F.col("posted_at"))
     )
-    stats = group_stats(dated, keys, **_volume(), soc_matched_postings=count_where(_matched()))
-    shown = having(stats, F.col("total_postings") >= MIN_POSTINGS)
-    complete = with_percentiles(shown, dated, keys, SALARY, QUARTILES)
+    stats = group_stats(dated, _TREND_KEYS, **_volume(), soc_matched_postings=count_where(_matched()))
+    shown = having(stats, F.col("total_postings") >= least)
+    return with_percentiles(shown, dated, _TREND_KEYS, SALARY, QUARTILES)
+
+
+def compare_months(months: DataFrame) -> DataFrame:
+    """The shown columns of :func:`trend_months` with the change on the month before.
+
+    Months below the posting minimum are removed before the comparison, so a month compares
+    with the last month that is shown.
+    """
+    complete = having(months, F.col("total_postings") >= MIN_POSTINGS)
     now, before = F.col("total_postings"), F.col("__before")
     compared = with_prev(complete, "data_source", "report_month", {"__before": "total_postings"})
     return compared.select(
-        *keys, "total_postings", "unique_companies", "postings_with_salary",
+        *_TREND_KEYS, "total_postings", "unique_companies", "postings_with_salary",
         _salary("median_salary"), _salary("avg_salary"), _salary("salary_p25"), _salary("salary_p75"),
         "remote_postings", _share("remote_postings", "pct_remote"),
         _share("soc_matched_postings", "soc_match_rate"),
@@ -109,6 +116,11 @@ def market_trends(postings: DataFrame) -> DataFrame:
     )
 
 
+def market_trends(postings: DataFrame) -> DataFrame:
+    """Month × source for sources with a real time axis, with change on the month before."""
+    return compare_months(trend_months(postings, MIN_POSTINGS))
+
+
 def economic_dashboard(labor: DataFrame, macro: DataFrame) -> DataFrame:
     """Month × series of both feeds with the change over twelve rows of the series.
 
@@ -183,11 +195,10 @@ def role_analysis(postings: DataFrame, occupations: DataFrame, education: DataFr
     )
 
 
-def posting_skill_joined(skills: DataFrame, postings: DataFrame) -> DataFrame:
-    """Skill mentions with the occupation and month of their posting, for the three skill marts.
+def posting_counts(postings: DataFrame) -> DataFrame:
+    """Postings per (posting, source, occupation, month), counted map-side as ``n``.
 
-    Postings are first counted per (posting, source, occupation, month), map-side, so repeated
-    postings reach the join as one row with a count ``n`` and do not multiply the mentions.
+    A posting that is repeated very often is a few rows here, whatever joins on it.
     """
     useful = postings.select(
         "posting_id",
@@ -195,13 +206,28 @@ def posting_skill_joined(skills: DataFrame, postings: DataFrame) -> DataFrame:
         F.when(_matched(), F.col("onet_soc_code")).alias("onet_soc_code"),
         month_start(F.col("posted_at")).alias("report_month"),
     ).where(F.col("onet_soc_code").isNotNull() | F.col("report_month").isNotNull())
-    counted = useful.groupBy(*useful.columns).agg(F.count(F.lit(1)).alias("n"))
+    return useful.groupBy(*useful.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def skill_mentions(skills: DataFrame, counts: DataFrame) -> DataFrame:
+    """Skill mentions with the occupation and month of their posting, from :func:`posting_counts`.
+
+    Tables that are stored in buckets of (posting_id, data_source) meet here without a shuffle.
+    """
     named = skills.where(F.length("skill_name") >= 2).select("posting_id", "skill_name", "data_source")
-    return named.join(counted, ["posting_id", "data_source"], "inner").select(
+    return named.join(counts, ["posting_id", "data_source"], "inner").select(
         "posting_id", "skill_name", "onet_soc_code", "report_month", "n"
     )
 
 
+def posting_skill_joined(skills: DataFrame, postings: DataFrame) -> DataFrame:
+    """Skill mentions with the occupation and month of their posting, for the three skill marts.
+
+    Repeated postings reach the join as one row with a count ``n`` and do not multiply the mentions.
+    """
+    return skill_mentions(skills, posting_counts(postings))
+
+
 def qualified_roles(postings: DataFrame) -> DataFrame:
     """Occupations with enough distinct postings, for the two occupation skill marts."""
     matched = postings.where(_matched() & F.col("onet_soc_code").isNotNull())

@@ -13,7 +13,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from jobtide.plans import dimensions, facts, marts, postings, quality, reports
+from jobtide.plans.refresh import ddl, merged_rows, scan
 from jobtide.session import build_session
+from jobtide.sources.catalog import BRONZE
 from jobtide.sources.landing import (
     land_api_payloads, land_csv_files, land_occupation_files,
 )
@@ -135,6 +137,14 @@ def export_orders() -> dict[str, list]:
     }
 
 
+def live_postings(spark: SparkSession, raw_root: str) -> DataFrame | None:
+    """The newest landed row of each live posting, and files that were put there by hand; None before any landing."""
+    schema = BRONZE["stg_adzuna__postings"].schema
+    kept = merged_rows(spark, f"{raw_root}/adzuna/latest", schema)
+    by_hand = scan(spark, f"{raw_root}/adzuna/adzuna_*.parquet", ddl(schema))
+    return kept if kept is None or by_hand is None else kept.unionByName(by_hand)
+
+
 def run(spark: SparkSession, raw_root: str, out: str, as_of: dt.date | None = None,
         export: bool = False, side_by_side: int = 4) -> Tables:
     """Build and write all tables; returns scans of them plus ``quality_report``.
@@ -143,16 +153,25 @@ def run(spark: SparkSession, raw_root: str, out: str, as_of: dt.date | None = No
     """
     as_of = as_of or dt.date.today()
     raw = bronze(spark, raw_root)
+    newest = live_postings(spark, raw_root)
+    if newest is not None:  # the history has been looked through when its batches landed
+        raw["stg_adzuna__postings"] = newest
     seeds = {
         **built_in_seeds(spark),
         "us_cities_states_counties": read_seed(spark, f"{raw_root}/seeds", "us_cities_states_counties"),
     }
     done: Tables = {}
+    metrics: dict = {}
 
     def write(layer: str, tables: Tables) -> None:
+        checked = {}
+        for name, df in tables.items():
+            checked[name], found = quality.observed(df, quality.TABLE_CHECKS.get(name, quality.Checks()))
+            if name in quality.TABLE_CHECKS:
+                metrics[name] = found
         with ThreadPoolExecutor(side_by_side) as pool:
             jobs = {name: pool.submit(save, df, out, layer, name, _SPLIT.get(name, ()))
-                    for name, df in tables.items()}
+                    for name, df in checked.items()}
         done.update({name: job.result() for name, job in jobs.items()})
 
     write("silver", silver_dimensions(spark, raw, as_of))
@@ -161,7 +180,7 @@ def run(spark: SparkSession, raw_root: str, out: str, as_of: dt.date | None = No
     write("silver", shared_joins(done))
     write("silver", shared_counts(done))
     write("gold", gold_marts(done, seeds, as_of))
-    write("checks", {"quality_report": quality.quality_report(done)})
+    write("checks", {"quality_report": quality.report_of_writes(spark, metrics, done)})
     if export:
         for name, order in export_orders().items():
             export_csv(done[name], f"{out}/export/{name}", order)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.fixed_values import DATA_SCIENCE, LINKEDIN, LINKEDIN_LARGE
@@ -136,6 +136,14 @@ def ds_enriched(postings: DataFrame, job_skills: DataFrame, summary: DataFrame)
     }).select(*_LISTING_COLUMNS)
 
 
+def newest_first() -> list[Column]:
+    """Which of the landed rows of one id :func:`live_enriched` takes."""
+    created = F.col("created").try_cast("timestamp_ntz").desc_nulls_last()
+    return [created, *latest_first(
+        "title", "`location.display_name`", "`company.display_name`", "description", "salary_max", "salary_min",
+        "contract_time", "`category.label`", "latitude", "longitude")]
+
+
 def live_enriched(postings: DataFrame, places: DataFrame, one_match: bool = False) -> DataFrame:
     """Live postings, each id once (the latest), with the location resolved.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.fixed_values import (
@@ -91,6 +91,33 @@ def check_table(df: DataFrame, table: str, checks: Checks) -> DataFrame:
         F.lit(table).alias("table"), "check", "column", "failures")
 
 
+def observed(df: DataFrame, checks: Checks) -> tuple[DataFrame, Observation | None]:
+    """The rows with their row checks as metrics of whatever action runs over them, a write for instance."""
+    row_checks = _row_checks(checks)
+    if not row_checks:
+        return df, None
+    metrics = Observation()
+    return df.observe(metrics, *[
+        F.count_if(failing).alias(f"{check}|{column}") for (check, column), failing in row_checks.items()]), metrics
+
+
+def report_of_writes(spark: SparkSession, metrics: dict[str, Observation | None], tables: dict[str, DataFrame],
+                     checks: dict[str, Checks] | None = None) -> DataFrame:
+    """:func:`quality_report` of tables whose row checks were observed while they were written.
+
+    Only the columns that must be unique are read again.
+    """
+    wanted = checks or TABLE_CHECKS
+    found = []
+    for table, observation in metrics.items():
+        counted = observation.get if observation is not None else {}
+        found += [(table, check, column, int(counted.get(f"{check}|{column}", 0))) for check, column in _row_checks(wanted[table])]
+    rows = spark.createDataFrame(found, "table string, check string, column string, failures bigint")
+    uniques = [check_table(tables[table], table, Checks(unique=wanted[table].unique))
+               for table in metrics if wanted[table].unique]
+    return reduce(DataFrame.unionByName, uniques, rows)
+
+
 def quality_report(tables: dict[str, DataFrame], checks: dict[str, Checks] | None = None) -> DataFrame:
     """All checks of all given tables that have some."""
     wanted = checks or TABLE_CHECKS

@@ -25,7 +25,7 @@ def land_api_payloads(spark: SparkSession, api: str, raw: str,
     are small, complete answers and replace what was there. ``metros`` are the areas to keep.
     """
     live = f"{raw}/adzuna/live"
-    land_live_postings(spark, f"{api}/adzuna", live, f"{raw}/_checkpoints/adzuna")
+    land_live_postings(spark, f"{api}/adzuna", live, f"{raw}/_checkpoints/adzuna", latest=f"{raw}/adzuna/latest")
     labor = r.explode_series(r.read_json(spark, f"{api}/bls/*.json", r.LABOR_PAYLOAD))
     macro = r.wide_from_map(
         r.read_payloads(spark, f"{api}/fred/*.json"), [series for series, _ in MACRO_SERIES])

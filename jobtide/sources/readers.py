@@ -80,6 +80,14 @@ LIVE_POSTING = (
     "_search_query string, _search_location string, _fetched_at string"
 )
 
+# The same fields by the column they become.
+LIVE_FIELDS = {
+    **dict.fromkeys(["id", "title", "description", "contract_time"], "string"),
+    **dict.fromkeys(["salary_min", "salary_max", "latitude", "longitude"], "double"),
+    **dict.fromkeys(["location.display_name", "company.display_name", "category.label", "created", "_search_query",
+                     "_search_location", "_fetched_at"], "string"),
+}
+
 _CHANGES = "struct<`1`: string, `3`: string, `6`: string, `12`: string>"
 LABOR_PAYLOAD = (
     "Results struct<series: array<struct<seriesID: string, data: array<struct<year: string, "
@@ -116,6 +124,34 @@ def flatten_json(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*_leaves(df.schema, "", "", sep))
 
 
+def found_type(df: DataFrame, json: str) -> str:
+    """The type that fits the JSON texts of a column, found from all of them in one aggregate; '' without any object.
+
+    Fields come and go between rows and nobody lists them. Numbers of several kinds become the widest, values that
+    have no common type text.
+    """
+    merged = df.agg(F.schema_of_variant_agg(F.try_parse_json(json))).first()[0] or ""
+    if not re.search(r"OBJECT<.", merged):
+        return ""
+    return re.sub(r"(?<![`\w])(OBJECT|VARIANT|VOID)\b(?!`)", lambda m: {"OBJECT": "STRUCT"}.get(m[1], "STRING"), merged)
+
+
+def flatten_found(df: DataFrame, json: str, sep: str = ".") -> DataFrame:
+    """Rows whose ``json`` text is an object, or a list of them, with a column for every field found in any row.
+
+    Columns are named by their path, arrays stay arrays, a field that a row lacks is NULL. Other columns stay; text
+    that is no JSON gives a row without fields, an empty list none. A list gives a row per element.
+    """
+    kind = found_type(df, json)
+    rest = [c for c in df.columns if c != json]
+    if not kind:
+        return df.select(*rest)
+    parsed = F.try_variant_get(F.try_parse_json(json), "$", kind)
+    if kind.startswith("ARRAY"):
+        return flatten_json(df.select(*rest, F.explode(parsed).alias("__o")).select(*rest, "__o.*"), sep)
+    return flatten_json(df.select(*rest, parsed.alias("__o")).select(*rest, "__o.*"), sep)
+
+
 def explode_series(df: DataFrame) -> DataFrame:
     """Payloads with ``Results.series[].data[]`` to a row per observation."""
     series = df.select(F.explode("Results.series").alias("s"))

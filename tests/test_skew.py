@@ -8,8 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from jobtide.operators import groups, windows
-from jobtide.plans import marts
+from jobtide.operators import groups, joins, windows
+from jobtide.plans import marts, quality
+from jobtide.sources import writers
 
 ROWS = 60000
 
@@ -106,3 +107,69 @@ def test_lag_over_ranges_shorter_than_its_steps(spark):
     got = windows.with_prev(rows, "k", "t", {"before": "v"}, 12, 10).collect()
     assert {(r.t, r.before) for r in got} == {(i, i - 12 if i >= 12 else None) for i in range(30)}
     assert windows.with_prev(rows.limit(0), "k", "t", {"before": "v"}, 12, 10).count() == 0
+
+
+def test_compare_sets_of_a_hot_key(spark):
+    """A third of each side is one key: all its pairs, and the rows of one side alone, with null keys unmatched."""
+    left = spark.range(0, 900).selectExpr("if(id % 3 = 0, 'hot', if(id = 1, null, concat('l', id))) AS k", "id AS a")
+    right = spark.range(0, 90).selectExpr("if(id % 3 = 0, 'hot', if(id < 50, concat('l', id), null)) AS k", "id AS b")
+    got = Counter(map(tuple, joins.compare_sets(left, right, "k", "in_left", "in_right").collect()))
+    full = left.withColumn("in_left", F.lit(True)).join(right.withColumn("in_right", F.lit(True)), "k", "full").na.fill(
+        False, ["in_left", "in_right"])
+    assert got == Counter(map(tuple, full.select("k", "a", "in_left", "b", "in_right").collect()))
+    plan = joins.compare_sets(left, right, "k", "in_left", "in_right")._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan
+
+
+def test_bitmaps_add_up(spark):
+    rows = spark.range(0, 90000).selectExpr(
+        "if(id % 3 = 0, 's0', concat('s', id % 5)) AS s", "id % 12 AS m", "if(id % 17 = 0, null, id * 7919 % 70001) AS c")
+    ids = groups.dense_ids(rows, "c", parts=5)
+    numbers = [r.id for r in ids.collect()]
+    assert sorted(numbers) == list(range(len(numbers))) and max(numbers) > 2 * 32768
+    by_month = groups.distinct_bitmaps(rows, ["s", "m"], "c", ids)
+    got = {(r.s, r.m): r.n for r in groups.bitmap_counts(by_month, ["s", "m"], "n").collect()}
+    want = {(r.s, r.m): r.n for r in rows.groupBy("s", "m").agg(F.countDistinct("c").alias("n")).collect()}
+    assert got == want
+    by_source = groups.merge_bitmaps(by_month, "s")
+    assert {r.s: r.n for r in groups.bitmap_counts(by_source, "s", "n").collect()} == {
+        r.s: r.n for r in rows.groupBy("s").agg(F.countDistinct("c").alias("n")).collect()}
+
+
+def test_rare_values_are_not_counted(spark, monkeypatch):
+    """60,000 rows of which most have a name of their own: only buckets with frequent names are counted by value."""
+    name = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 1, F.concat(F.lit("n"), (F.col("id") % 7).cast("string")))
+    rows = spark.range(0, ROWS, 1, 8).select(
+        F.when(F.col("id") % 4 > 0, "k").alias("key"), F.coalesce(name, F.col("id").cast("string")).alias("name"))
+    kept, plain = [], groups.written
+
+    def seen(df, what):
+        table = plain(df, what)
+        kept.append((what, table.count()))
+        return table
+
+    monkeypatch.setattr(groups, "written", seen)
+    got = {tuple(r) for r in groups.frequent_values(rows, "key", "name", 5).collect()}
+    counted = rows.groupBy("key", "name").count().collect()
+    want = set()
+    for key in (None, "k"):
+        best = sorted(((-r["count"], r["name"]) for r in counted if r.key == key))[:5]
+        want |= {(key, v, -n, i + 1) for i, (n, v) in enumerate(best)}
+    assert got == want
+    assert dict(kept)["counted"] < len(counted) / 100
+    few = rows.where("name in ('hot', 'n1')")
+    assert {tuple(r)[:2] for r in groups.frequent_values(few, "key", "name", 5).collect()} == {
+        (k, v) for k, v in {(r.key, r.name) for r in few.collect()}}
+
+
+def test_checks_are_counted_by_the_write(spark, tmp_path):
+    df = spark.createDataFrame([(1, " x", -2.0, "a"), (None, "y", 3.0, "b"), (1, None, None, "zz")], "id int, t string, v double, s string")
+    checks = quality.Checks(not_null=("id", "t"), unique=("id",), positive_value=("v",), text_trimmed=("t",), accepted_values={"s": ["a", "b"]})
+    watched, metrics = quality.observed(df, checks)
+    table = writers.save(watched, str(tmp_path), "gold", "t")
+    got = quality.report_of_writes(spark, {"t": metrics}, {"t": table}, {"t": checks})
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, quality.quality_report({"t": df}, {"t": checks}).collect()))
+    empty, none = quality.observed(df.limit(0), checks)
+    saved = writers.save(empty, str(tmp_path), "gold", "e")
+    assert {r.failures for r in quality.report_of_writes(spark, {"e": none}, {"e": saved}, {"e": checks}).collect()} == {0}
+    assert quality.observed(df, quality.Checks(unique=("id",)))[1] is None

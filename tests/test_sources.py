@@ -10,7 +10,7 @@ import random
 
 import pytest
 
-from jobtide.plans import pipeline
+from jobtide.plans import pipeline, refresh
 from jobtide.sources import readers, writers
 from jobtide.sources.catalog import BRONZE, SEED_BRONZE
 from jobtide.streaming.landing import land_live_postings
@@ -263,6 +263,39 @@ def test_landing_takes_each_file_once(spark, tmp_path):
     assert "location.display_name" in landed.columns
 
 
+def test_landing_keeps_fields_that_nobody_listed(spark, tmp_path):
+    inbox, out, latest = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/latest"
+    write(f"{inbox}/adzuna_1.json", json.dumps([POSTING, {"id": 7, "salary_min": "x"}]))
+    land_live_postings(spark, inbox, out, f"{tmp_path}/ck", latest=latest)
+    write(f"{inbox}/adzuna_2.json", json.dumps([
+        {**POSTING, "created": "2026-03-02T00:00:00Z", "title": "newer", "ad ref": 5, "more": {"deep": {"er": True}}}, {"title": "no id"}]))
+    write(f"{inbox}/adzuna_3.json", '[1, {"id": "2"}]')
+    write(f"{inbox}/adzuna_4.json", json.dumps({"id": "4", "location": {"area": ["US", "TX"]}}))
+    land_live_postings(spark, inbox, out, f"{tmp_path}/ck", latest=latest)
+    first, second = spark.read.parquet(f"{out}/batch-000000"), spark.read.parquet(f"{out}/batch-000001")
+    assert {"location.area", "category.tag"} <= set(first.columns) and first.count() == 2
+    rows = {r["id"]: r for r in second.collect()}
+    assert set(rows) == {"1", "4", None}
+    assert (rows["1"]["ad ref"], rows["1"]["more.deep.er"]) == ("5", "true")
+    assert json.loads(rows["4"]["location.area"]) == ["US", "TX"]
+    kept = {r["id"]: r for r in refresh.merged_rows(spark, latest).collect()}
+    assert set(kept) == {"1", "7", "4", None} and kept["1"]["title"] == "newer"
+    assert kept["7"]["salary_min"] is None and dict(second.dtypes)["salary_min"] == "double"
+    assert [r["text"] for r in spark.read.parquet(f"{out}/rejects/batch-*").collect()] == ['[1, {"id": "2"}]']
+
+
+def test_found_fields(spark):
+    texts = ['{"a": 1}', '{"a": 2.5, "b": {"c": "x"}}', "no json", '{"b": {"d": [1, 2]}, "a": null}', None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, body string")
+    flat = readers.flatten_found(df, "body")
+    assert set(flat.columns) == {"id", "a", "b.c", "b.d"}
+    rows = {r["id"]: (None if r["a"] is None else float(r["a"]), r["b.c"], r["b.d"]) for r in flat.collect()}
+    assert rows == {0: (1.0, None, None), 1: (2.5, "x", None), 2: (None,) * 3, 3: (None, None, [1, 2]), 4: (None,) * 3}
+    lists = spark.createDataFrame([('[{"a": 1}, {"b": "x"}]',), ("[]",)], "body string")
+    assert sorted(map(str, readers.flatten_found(lists, "body").collect())) == ["Row(a=1, b=None)", "Row(a=None, b='x')"]
+    assert readers.flatten_found(df.where("id = 2"), "body").columns == ["id"]
+
+
 def test_landing_rejects_damaged_files_and_leaves_no_strays(spark, tmp_path):
     raw = f"{tmp_path}/raw"
     inbox, out, checkpoint = f"{tmp_path}/in", f"{raw}/adzuna/live", f"{tmp_path}/ck"
