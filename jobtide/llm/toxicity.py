@@ -5,9 +5,12 @@ texts are made of, one on those that stand out in toxic texts (many different co
 ordinary ones). A window is one word between blanks, with a run of one byte on either side: every
 compressor shortens the runs alike and without a dictionary, so that the block is always a compressed
 one and the word's bytes alone make the difference. The distance of a window is its length under the
-ordinary dictionary less that under both; toxic stems make it positive, also inside words never seen. The
-evidence of a text is the sum of its distances from a threshold on, and its score evidence / (evidence +
-level). Threshold and level come from labelled texts that the dictionaries have not seen.
+ordinary dictionary less that under both; toxic stems make it positive, also inside words never seen. Each
+distance weighs what its share in toxic texts says against that in ordinary ones, so the many words
+without any weigh a little for an ordinary text, and chance finds in a long one make no difference. The
+evidence of a text is the sum of these weights over the root of its number of words, and its score a
+logistic curve around a threshold. Weights and threshold come from labelled texts that the dictionaries
+have not seen.
 """
 
 from __future__ import annotations
@@ -34,8 +37,9 @@ BEFORE, AFTER = b"\0" * 24, b"\0" * 16
 class Model:
     ordinary: bytes
     toxic: bytes
-    threshold: int = 1
-    level: float = 1.0
+    weights: tuple[float, ...] = tuple(float(d) for d in range(9))  # by distance, the last one for all above
+    threshold: float = 1.0
+    steepness: float = 4.0
 
 
 class Distance:
@@ -70,8 +74,19 @@ def words_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
-def evidence(distance: Distance, text: str | None, threshold: int) -> int:
-    return sum(d for d in map(distance, words_of(text)) if d >= threshold)
+def distances(distance: Distance, text: str | None, most: int) -> np.ndarray:
+    """How many words of a text have each distance from 0 to ``most``; lower and higher ones count at the ends."""
+    found = np.fromiter(map(distance, words_of(text)), np.int64)
+    return np.bincount(np.clip(found, 0, most), minlength=most + 1)
+
+
+def evidence(counts: np.ndarray, weights: tuple[float, ...]) -> float:
+    """The weighted distances of a text, over the root of its number of words."""
+    return float(counts @ np.array(weights) / np.sqrt(counts.sum() + 1))
+
+
+def probability(model: Model, found: float) -> float:
+    return float(1 / (1 + np.exp(np.clip(model.steepness * (model.threshold - found), -500, 500))))
 
 
 def _contexts(texts: list[str]) -> tuple[Counter, int]:
@@ -117,18 +132,27 @@ def train(toxic: list[str], ordinary: list[str], bytes_ordinary: int = 32768, by
     return Model(base, extra) if chosen and len(base) > 200 else None
 
 
-def calibrate(model: Model, toxic: list[str], ordinary: list[str]) -> Model:
-    """The lowest threshold that tells the texts apart best, by balanced accuracy, and the level in the widest gap there."""
-    distance = Distance(model)
-    found = [[[d for d in map(distance, words_of(t)) if d > 0] for t in texts] for texts in (ordinary, toxic)]
-    most = -1.0
-    for threshold in range(1, 9):
-        low, high = (np.sort([sum(d for d in ds if d >= threshold) for ds in texts]) for texts in found)
-        values = np.unique(np.concatenate((low, high)))
-        cuts = [(round(np.mean(low <= a) + np.mean(high >= b), 9), (b + 1) / (a + 1), a, b) for a, b in zip(values[:-1], values[1:])]
-        if cuts and max(cuts)[0] > most:
-            most, _, a, b = max(cuts)
-            model.threshold, model.level = threshold, max(0.5, float(np.sqrt((a + 0.25) * b)))
+def calibrate(model: Model, toxic: list[str], ordinary: list[str], words: int = 400) -> Model:
+    """Weights, the threshold that tells the texts apart best by balanced accuracy, and the steepness around it.
+
+    A weight is the logarithm of the ratio of a distance's shares in toxic and ordinary texts, in which a text counts
+    as one of ``words`` words at most; larger distances never weigh less. Of equally good thresholds the one in the
+    middle of the widest gap counts.
+    """
+    distance, most = Distance(model), len(model.weights) - 1
+    counts = [[distances(distance, t, most) for t in texts] for texts in (ordinary, toxic)]
+    shares = []
+    for texts in counts:
+        total = sum((c / c.sum() * min(c.sum(), words) for c in texts if c.sum()), np.zeros(most + 1)) + 0.5
+        shares.append(total / total.sum())
+    model.weights = tuple(np.maximum.accumulate(np.log(shares[1] / shares[0])).tolist())
+    low, high = (np.sort([evidence(c, model.weights) for c in texts]) for texts in counts)
+    values = np.unique(np.concatenate((low, high)))
+    right = lambda a, b: round(np.mean(low <= a) + np.mean(high >= b), 9)
+    cuts = [(right(a, b), b - a, (a + b) / 2) for a, b in zip(values[:-1], values[1:])]
+    if cuts:
+        model.threshold = max(0.01, float(max(cuts)[2]))
+    model.steepness = float(4 / max(0.05, np.median(high) - model.threshold)) if len(high) else model.steepness
     return model
 
 
@@ -162,28 +186,30 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         if model is not None and part[True, True] and part[False, True]:
             model = calibrate(model, part[True, True], part[False, True])
         yield pa.RecordBatch.from_pylist([] if model is None else [vars(model)], pa.schema(
-            [("ordinary", pa.binary()), ("toxic", pa.binary()), ("threshold", pa.int32()), ("level", pa.float64())]))
+            [("ordinary", pa.binary()), ("toxic", pa.binary()), ("weights", pa.list_(pa.float64())),
+             ("threshold", pa.float64()), ("steepness", pa.float64())]))
 
-    made = texts.coalesce(1).mapInArrow(run, "ordinary binary, toxic binary, threshold int, level double").collect()
-    return Model(bytes(made[0][0]), bytes(made[0][1]), made[0][2], made[0][3]) if made else None
+    made = texts.coalesce(1).mapInArrow(
+        run, "ordinary binary, toxic binary, weights array<double>, threshold double, steepness double").collect()
+    return Model(bytes(made[0][0]), bytes(made[0][1]), tuple(made[0][2]), made[0][3], made[0][4]) if made else None
 
 
 def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document row: (doc_id, evidence, score), over whole texts.
 
-    A null or empty text has no windows and score 0, as all have without a model. Repeated rows each get their score;
+    A null or empty text has no windows and evidence 0; without a model all scores are 0. Repeated rows each get their score;
     an empty table gives an empty result; only id and text are read.
     """
     picked = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = picked.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        distance = Distance(model) if model else None
+        distance, most = (Distance(model), len(model.weights) - 1) if model else (None, 0)
         for batch in batches:
-            found = [evidence(distance, t.as_py(), model.threshold) if model else 0 for t in batch.column(1)]
-            level = model.level if model else 1.0
+            found = [evidence(distances(distance, t.as_py(), most), model.weights) if model else 0.0 for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.int64()), pa.array([e / (e + level) for e in found], pa.float64())],
+                [batch.column(0), pa.array(found, pa.float64()),
+                 pa.array([probability(model, e) if model else 0.0 for e in found], pa.float64())],
                 ["doc_id", "evidence", "score"])
 
-    return picked.mapInArrow(run, f"doc_id {kind}, evidence bigint, score double")
+    return picked.mapInArrow(run, f"doc_id {kind}, evidence double, score double")

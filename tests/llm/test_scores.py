@@ -109,12 +109,37 @@ def test_toxicity_of_rows_held_out(spark, docs, no_docs):
     right = [(got[i].score >= 0.5) == (i % 4 == 0) for i in out]
     assert len(out) > 150 and np.mean(right) > 0.97
     distance = toxicity.Distance(model)
-    assert distance("xollumin") >= model.threshold  # a stem in a word never seen
+    assert model.weights[min(distance("xollumin"), 8)] > 1  # a stem in a word never seen
+    texts = {i: t for i, t in rows.select("doc_id", "text").collect()}
+    for i, r in got.items():
+        ds = [min(max(distance(w), 0), 8) for w in (texts[i] or "").lower().split()]
+        by_hand = sum(model.weights[d] for d in ds) / math.sqrt(len(ds) + 1)
+        assert abs(r.evidence - by_hand) < 1e-9
+        assert abs(r.score - 1 / (1 + math.exp(-model.steepness * (by_hand - model.threshold)))) < 1e-9
     odd = toxicity.score(docs, model).collect()
     assert len(odd) == len(corpus()) and all(0 <= r.score <= 1 for r in odd)
     assert toxicity.score(no_docs, model).count() == 0
 
 
+def test_toxicity_does_not_grow_with_length(spark):
+    """Five, fifty or five hundred ordinary texts in a row are ordinary, and toxic ones toxic."""
+    rows, labels = labelled(spark)
+    model = toxicity.fit(rows, labels)
+    texts = [[t for i, t in rows.select("doc_id", "text").collect() if (i % 4 == 0) == bad] for bad in (False, True)]
+    long = [(bad, " ".join(t[k:k + n])) for bad, t in enumerate(texts) for n in (5, 50, 200) for k in range(4)]
+    df = spark.createDataFrame([(n, t) for n, (_, t) in enumerate(long)], "doc_id bigint, text string")
+    got = {r.doc_id: r.score >= 0.5 for r in toxicity.score(df, model).collect()}
+    assert got == {n: bool(bad) for n, (bad, _) in enumerate(long)}
+
+
+def test_weights_and_threshold_by_hand():
+    counts = np.array([[9, 0, 0], [8, 2, 0]])
+    assert toxicity.evidence(counts[1], (-0.5, 0.25, 3.0)) == pytest.approx((8 * -0.5 + 2 * 0.25) / math.sqrt(11))
+    assert toxicity.evidence(np.zeros(3, int), (-0.5, 0.25, 3.0)) == 0
+    model = toxicity.Model(b"", b"", (0.0,), 0.3, 4.0)
+    assert toxicity.probability(model, 0.3) == 0.5 and toxicity.probability(model, 0.0) < 0.5 < toxicity.probability(model, 1e6) <= 1
+
+
 def test_toxicity_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     assert toxicity.fit(docs, none) is None
