@@ -2,6 +2,7 @@
 
 Everything is SQL over the text column. A split by the same pattern gives the stretches between the
 matches, so the lengths of stretches and matches add up to the places of the matches, in code points.
+A string is cut into its characters once, so time grows with the length of texts and strings.
 
 The entropy of a candidate string is that of every window of its characters. The counts of a window's
 characters and the sum of c * log2(c) over them pass from one window to the next by the one character
@@ -21,6 +22,7 @@ ASSIGN = (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["'
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 BASE = ("assign", "access", "hex")
+PIECE = 512  # matches whose places are summed up at once
 
 
 @dataclass(frozen=True)
@@ -54,34 +56,52 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _with(name: str, value: str, body: str) -> str:
+    """SQL: the body, in which ``name`` is a value that is worked out once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+_SPAN = "struct<start: int, end: int, value: string>"
+
+
 def matches(text: str, pattern: str) -> str:
-    """SQL: the (start, end, value) of all matches of a pattern, leftmost and non-overlapping, in code points."""
+    """SQL: the (start, end, value) of all matches of a pattern, leftmost and non-overlapping, in code points.
+
+    Places are summed up within pieces of the list first, then over the pieces: a list that grows by one match at a
+    time is copied as often.
+    """
     p = _quoted(pattern)
-    return (f"if(rlike({text}, {p}), "
-            f"aggregate(zip_with(slice(split({text}, {p}, -1), 1, size(split({text}, {p}, -1)) - 1),"
-            f" regexp_extract_all({text}, {p}, 0), (gap, hit) -> struct(length(gap) AS gap, hit AS hit)),"
-            " named_struct('end', 0, 'spans', cast(array() AS array<struct<start: int, end: int, value: string>>)),"
-            " (a, x) -> named_struct('end', a.end + x.gap + length(x.hit), 'spans', concat(a.spans, array(named_struct("
-            "'start', a.end + x.gap, 'end', a.end + x.gap + length(x.hit), 'value', x.hit)))), a -> a.spans),"
-            " cast(array() AS array<struct<start: int, end: int, value: string>>))")
+    # The stretch before each match, and one more without a match at the end.
+    found = (f"zip_with(split({text}, {p}, -1), regexp_extract_all({text}, {p}, 0),"
+             " (gap, hit) -> struct(length(gap) AS gap, hit AS hit))")
+    within = (f"aggregate(slice(x, b * {PIECE} + 1, least({PIECE}, size(x) - 1 - b * {PIECE})),"
+              f" named_struct('end', 0, 'spans', cast(array() AS array<{_SPAN}>)),"
+              " (a, m) -> named_struct('end', a.end + m.gap + length(m.hit), 'spans', concat(a.spans, array(named_struct("
+              "'start', a.end + m.gap, 'end', a.end + m.gap + length(m.hit), 'value', m.hit)))))")
+    pieces = f"transform(sequence(0, (size(x) - 2) div {PIECE}), b -> {within})"
+    begins = ("aggregate(k, named_struct('at', 0, 'all', cast(array() AS array<int>)),"
+              " (a, m) -> named_struct('at', a.at + m.end, 'all', concat(a.all, array(a.at))), a -> a.all)")
+    moved = (f"flatten(zip_with(k, {begins}, (m, o) -> transform(m.spans,"
+             " s -> named_struct('start', s.start + o, 'end', s.end + o, 'value', s.value))))")
+    return (f"if(rlike({text}, {p}), {_with('x', found, _with('k', pieces, moved))}, cast(array() AS array<{_SPAN}>))")
 
 
 def max_entropy(value: str, kind: CharClass) -> str:
     """SQL: the highest Shannon entropy of a window of ``kind.width`` characters in a string of the class."""
     alphabet, w = _quoted(kind.alphabet), kind.width
     f = lambda c: f"if(({c}) > 1, ({c}) * log2({c}), 0D)"
-    # Place of the character that comes in, and of the one that goes out (0: none yet).
-    came, went = f"locate(substr({value}, i, 1), {alphabet})", f"if(i > {w}, locate(substr({value}, i - {w}, 1), {alphabet}), 0)"
+    # The place in the alphabet of each character, which comes in, and of the one that goes out (0: none yet).
+    codes = f"transform(filter(split({value}, ''), c -> c <> ''), c -> locate(c, {alphabet}))"
+    steps = f"zip_with(v, slice(concat(array_repeat(0, {w}), v), 1, size(v)), (came, went) -> struct(came, went))"
     plus = "element_at(s.counts, x.came)"
     minus = "element_at(s.counts, x.went)"
     moved = (f"s.sum + if(x.came = x.went, 0D, {f(plus + ' + 1')} - {f(plus)}"
              f" + if(x.went = 0, 0D, {f(minus + ' - 1')} - {f(minus)}))")
     step = ("named_struct('counts', transform(s.counts, (c, j) -> c + if(j + 1 = x.came, 1D, 0D) - if(j + 1 = x.went, 1D, 0D)),"
-            f" 'sum', {moved}, 'least', if(x.i < {w}, s.least, least(s.least, {moved})))")
-    return (f"(log2({w}) - aggregate(transform(sequence(1, length({value})), i -> named_struct("
-            f"'i', i, 'came', {came}, 'went', {went})),"
-            f" named_struct('counts', array_repeat(0D, {len(kind.alphabet)}), 'sum', 0D, 'least', 1e9D),"
-            f" (s, x) -> {step}, s -> s.least) / {w})")
+            f" 'sum', {moved}, 'least', if(s.n + 1 < {w}, s.least, least(s.least, {moved})), 'n', s.n + 1)")
+    lowest = (f"aggregate({steps}, named_struct('counts', array_repeat(0D, {len(kind.alphabet)}), 'sum', 0D, 'least', 1e9D, 'n', 0),"
+              f" (s, x) -> {step}, s -> s.least)")
+    return _with("v", codes, f"log2({w}) - {lowest} / {w}")
 
 
 def entropy_spans(text: str, classes: tuple[CharClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED) -> str:

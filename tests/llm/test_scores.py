@@ -6,6 +6,7 @@ import base64
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -88,6 +89,28 @@ def test_sliding_entropy_is_that_of_each_window(spark):
         assert r.e == pytest.approx(max(entropies(r.v, kind)))
 
 
+def test_secrets_take_time_in_proportion(spark):
+    """Runs and lists of matches ten times as long take about ten times as long, not a hundred times."""
+    draw = random.Random(8)
+
+    def seconds(text):
+        df = spark.createDataFrame([(1, text)], "doc_id int, text string")
+        start = time.perf_counter()
+        spans = find_secrets(df).first().found
+        return time.perf_counter() - start, spans
+
+    run = lambda n: "".join(draw.choices(CLASSES[1].alphabet.replace("/", ""), k=n))
+    assigns = lambda n: "".join(f"token={i:06d} é " for i in range(n))
+    seconds(run(1000) + " " + assigns(100))
+    for made, small, kind in ((run, 30_000, "entropy"), (assigns, 20_000, "assign")):
+        (short, _), (long, spans) = seconds(made(small)), seconds(made(10 * small))
+        assert long < 40 * max(short, 0.2)
+        assert {x.kind for x in spans} == {kind} and len(spans) == (1 if made is run else 10 * small)
+        if made is assigns:
+            ends = np.cumsum([len(f"token={i:06d} é ") for i in range(10 * small)])
+            assert [x.end + 3 for x in spans] == ends.tolist()
+
+
 def labelled(spark, n=900):
     draw, rows, marks = random.Random(4), [], []
     for i in range(n):
