@@ -9,9 +9,10 @@ band with probability 2.3e-7. Folding only ever adds candidates, and the sets of
 No band is paired off. First each text is held against the smallest of each of its bands. Where texts of a band are
 then still in different classes, their shingles are put in one order, rare ones first; a pair at the wanted
 similarity meets in the first few of them, near enough to their beginnings. Each list of texts under such a shingle
-has its first 1, then 8, 64, ... texts held against those of other classes, which decides these for good and takes
-them out; lists of one class are closed. A group of near copies costs rows in proportion to its size as its class
-forms, and only texts that could all be linked, but are not, cost more.
+has its first 1, then 32, 1024, ... texts held against those of other classes, which decides these for good and takes
+them out; lists of one class are closed. A pair becomes a row only if the parities of two sets' shingles over 512 hash
+buckets differ in no more places than the sets may: each shingle that one set alone has turns one parity round, so
+this never loses a link. A group of near copies so costs rows in proportion to its size.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ from jobtide.llm.simhash import SEED, shingles
 BANDS, IN_BAND = 48, 8
 COORDINATES = BANDS * IN_BAND
 UNIVERSE = 1 << 22
-GROWTH = 8  # how many times more texts of a list each round tries
+GROWTH = 32  # how many times more texts of a list each round tries
+PARITIES = 8  # longs of parities
 _AT = 1 << 10  # shingles at a time: bounds the memory of a long text
 _MIX = np.random.default_rng(SEED).integers(1, 1 << 63, (BANDS, IN_BAND + 1), np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -89,16 +91,24 @@ def signed(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
     return picked.mapInArrow(run, f"doc_id {kind}, row string, node binary, n bigint, keys array<bigint>")
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """How many hashes fall into each of 64 * PARITIES buckets, modulo 2, as signed 64-bit integers."""
+    odd = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % (64 * PARITIES), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def hash_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
-    """The sets (node, hashes) of the wanted nodes (node, row)."""
+    """The sets (node, hashes, odd) of the wanted nodes (node, row), odd their parities."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [hash_set(t.as_py(), shingle).view(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "hashes"])
+            sets = [hash_set(t.as_py(), shingle) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                 pa.array([parities(s) for s in sets], pa.list_(pa.int64()))], ["node", "hashes", "odd"])
 
     texts = docs.select(row_key(doc_id, text).alias("row"), F.col(text).alias("text"))
     texts = texts.join(wanted, "row").dropDuplicates(["node"]).select("node", "text")
-    return texts.mapInArrow(run, "node binary, hashes array<bigint>")
+    return texts.mapInArrow(run, "node binary, hashes array<bigint>, odd array<bigint>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -119,7 +129,7 @@ def _pair(left: str, right: str) -> list:
 
 
 def first_shingles(sets: DataFrame, percent: int) -> DataFrame:
-    """Lists (token, node, n, at): the shingles of each set, rarest first, that a similar set must share one of.
+    """Lists (token, node, n, odd, at): the shingles of each set, rarest first, that a similar set must share one of.
 
     ``at`` is the place of the shingle in its set, from 0. Shingles of one set alone are left out.
     """
@@ -131,8 +141,9 @@ def first_shingles(sets: DataFrame, percent: int) -> DataFrame:
     near = placed.where(f"df > 1 AND 100 * (n - at) >= {percent} * n").select("token", "node", "n", "at")
     # More of them, if no set in the list is so small that it could be as alike as that.
     smallest = near.groupBy("token").agg(F.min("n").alias("smallest"))
-    return near.join(smallest, "token").where(
+    near = near.join(smallest, "token").where(
         f"{100 + percent} * (n - at) >= {percent} * (n + greatest(smallest, ceil({percent} * n / 100.0)))").drop("smallest")
+    return near.join(sets.select("node", "odd"), "node").select("token", "node", "n", "odd", "at")
 
 
 def links(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, shingle: int, percent: int) -> DataFrame:
@@ -153,6 +164,8 @@ def links(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, shingle: in
     undecided = saved(placed.join(mixed, "key", "left_semi").select("node").distinct(), "undecided")
     lists = saved(first_shingles(sets.join(undecided, "node", "left_semi"), percent), "lists")
     tries = 1
+    # What only one of two sets has: a similar pair has few of these, and as many or fewer parities differ.
+    apart = " + ".join(f"bit_count(l.odd[{i}] ^ r.odd[{i}])" for i in range(PARITIES))
     while True:
         lists = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = lists.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
@@ -164,10 +177,12 @@ def links(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, shingle: in
         met = lists.alias("l").join(tested.alias("r"), F.expr(
             "l.token = r.token AND l.root <> r.root"
             f" AND 100 * least(l.n, r.n) >= {percent} * greatest(l.n, r.n)"
-            f" AND {100 + percent} * least(l.n - l.at, r.n - r.at) >= {percent} * (l.n + r.n)"))
-        more = verified(met.select(*_pair("l.node", "r.node")).distinct(), sets, percent)
-        linked = saved(linked.unionByName(more), "linked")
-        roots = components(linked)
+            f" AND {100 + percent} * least(l.n - l.at, r.n - r.at) >= {percent} * (l.n + r.n)"
+            f" AND {100 + percent} * ({apart}) <= {100 - percent} * (l.n + r.n)"))
+        more = saved(verified(met.select(*_pair("l.node", "r.node")).distinct(), sets, percent), "more")
+        if not more.isEmpty():
+            linked = linked.unionByName(more)
+            roots = components(linked)
         lists = lists.join(tested, ["token", "node"], "left_anti").drop("root")
         tries *= GROWTH
     return linked

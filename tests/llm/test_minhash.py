@@ -64,6 +64,14 @@ def test_signature_estimates_similarity():
         assert abs((signature(one) == signature(other)).mean() - shared) < 0.08
 
 
+def test_parities_bound_the_difference():
+    draw = np.random.default_rng(6).integers(0, 1 << 63, 900).astype(np.uint64)
+    for cut in (0, 1, 3, 20, 100, 400):
+        one, other = np.sort(draw[:500]), np.sort(draw[cut:500 + cut])
+        apart = sum(int(x).bit_count() for x in (minhash.parities(one) ^ minhash.parities(other)).view(np.uint64))
+        assert apart <= 2 * cut and (apart >= 1.5 * cut or cut > 50)
+
+
 def test_classes_match_brute_force(spark, docs):
     assert got(docs) == brute([(i, t) for i, t, *_ in corpus()])
     rows = []
