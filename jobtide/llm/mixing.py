@@ -1,8 +1,9 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
 Every source is cut into blocks by the hash of its documents, a random permutation that every rerun
-repeats. Its target says how many block instances it gives: whole epochs of all blocks, then blocks
-of one more epoch in their order, the last of them in part. A binary tree deals the instances out to
+repeats. Its target says how many block instances it gives: whole epochs of all blocks, then one more
+epoch of the documents that, in the order of the blocks, still fit: a document too long for what is
+left is passed over, and later ones fill the gap, or the same once more where all are in. A binary tree deals the instances out to
 the output shards: a node splits in half, and how many of each source's instances go left is drawn
 from the multivariate hypergeometric law, as if the node's blocks had been shuffled one by one. The
 draw of many sources is itself a tree: the sources split in half, one hypergeometric draw says how
@@ -130,11 +131,14 @@ def split_quotas(counts: DataFrame, sources: int, depth: int, seed: int) -> Data
 
 def placements(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
                weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0, block_words: int = 1 << 16,
-               shard_words: int = 1 << 24, seed: int = 17) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(units, targets, placed): documents with size and block, the sources' targets, and where the blocks go.
+               shard_words: int = 1 << 24, seed: int = 17, near: float = 0.001,
+               ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(units, targets, last, placed): documents with size and block, the sources' targets, and where the blocks go.
 
     units: (unit_a, unit_b, source, rank, size, rows, block); rows alike in id, source and text are one unit.
-    placed: (rank, block, epoch, shard, upto): upto is null for a whole block, else the words it gives.
+    last: the units of the last epochs, which have part of the documents; they end when every source is within
+    ``near`` of its target or has no document that fits. placed: (rank, block, epoch, shard, part): part tells the
+    last epochs from the whole ones.
     """
     unit_a, unit_b = _unit(doc_id, source, text)
     size = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("bigint")
@@ -150,20 +154,11 @@ def placements(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
     units = saved(_with_source(sized, plan, sources).withColumn(
         "block", F.floor(_uniform(F.lit(seed), *UNIT) * F.col("blocks"))).drop("blocks"), "units")
 
-    # Words before each block of its source, by groups of blocks first.
-    blocks = saved(units.groupBy("rank", "block").agg(total.alias("words")), "blocks")
-    grouped = blocks.withColumn("group", F.floor(F.col("block") / GROUP))
+    last = saved(fitting(units, plan, near, most), "last")
+    whole = plan.where("epochs > 0").select("rank", F.explode(F.expr("sequence(0L, epochs - 1)")).alias("epoch"))
+    given = (units.select("rank", "block").distinct().join(whole, "rank").withColumn("part", F.lit(False)).unionByName(
+        last.select("rank", "block", "epoch").distinct().withColumn("part", F.lit(True))))
     before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    groups = (grouped.groupBy("rank", "group").agg(F.sum("words").alias("words"))
-              .withColumn("ahead", F.coalesce(F.sum("words").over(before("rank").orderBy("group")), F.lit(0))))
-    running = (grouped.join(groups.drop("words"), ["rank", "group"])
-               .withColumn("ahead", F.col("ahead") + F.coalesce(
-                   F.sum("words").over(before("rank", "group").orderBy("block")), F.lit(0))))
-    given = (running.join(plan.select("rank", "epochs", "rest"), "rank").select(
-        "rank", "block", F.explode(F.expr(
-            "concat(if(epochs > 0, transform(sequence(0L, epochs - 1), e -> struct(e AS epoch, double(null) AS upto)), array()),"
-            " if(ahead < rest, array(struct(epochs AS epoch, if(ahead + words <= rest, null, rest - ahead) AS upto)), array()))"))
-        .alias("g")).select("rank", "block", "g.*"))
     # The place of each instance in its source's random order, again by groups.
     given = given.withColumn("order", F.xxhash64(F.lit(seed + 1), "rank", "epoch", "block"))
     given = saved(given, "given")
@@ -177,14 +172,13 @@ def placements(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
 
     depth = max(0, math.ceil(math.log2(max(1, (words or 0) / shard_words))))
     quotas = split_quotas(given.groupBy("rank").agg(F.count("*").alias("n")), sources, depth, seed + 2)
-    ends = quotas.select("rank", "shard", "n", (F.sum("n").over(
-        Window.partitionBy("rank").orderBy("shard")) - F.col("n")).alias("begin"))
-    ends = ends.groupBy("rank").agg(F.array_sort(F.collect_list(F.struct("begin", "shard"))).alias("begins"))
-    placed = order.join(ends, "rank").select(
-        "rank", "block", "epoch", "upto", F.expr("filter(begins, b -> b.begin <= place)").alias("b"))
-    placed = saved(placed.select("rank", "block", "epoch", F.expr("element_at(b, -1).shard").alias("shard"), "upto"), "placed")
+    # A row per place, so that an instance finds its shard by an equal key.
+    begin = F.sum("n").over(Window.partitionBy("rank").orderBy("shard")) - F.col("n")
+    spots = quotas.where("n > 0").withColumn("begin", begin).select(
+        "rank", "shard", F.explode(F.expr("sequence(begin, begin + n - 1)")).alias("place"))
+    placed = saved(order.join(spots, ["rank", "place"]).select("rank", "block", "epoch", "shard", "part"), "placed")
     release(docs.sparkSession)
-    return units, aims, placed
+    return units, aims, last, placed
 
 
 def _with_source(sized: DataFrame, plan: DataFrame, sources: int) -> DataFrame:
@@ -194,22 +188,68 @@ def _with_source(sized: DataFrame, plan: DataFrame, sources: int) -> DataFrame:
                       F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
 
-def drawn(units: DataFrame, placed: DataFrame) -> DataFrame:
+def _fit_in_order(units: DataFrame, need: DataFrame) -> DataFrame:
+    """Of the units that are no longer than what their source needs (rank, need): in the order of the blocks, those
+    that fit together."""
+    fits = units.join(need, "rank").where("words <= need")
+    blocks = fits.groupBy("rank", "block").agg(F.sum("words").alias("here"), F.first("need").alias("need"))
+    grouped = saved(blocks.withColumn("group", F.floor(F.col("block") / GROUP)), "blocks")
+    before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    # Words before each block of its source, by groups of blocks first.
+    groups = (grouped.groupBy("rank", "group").agg(F.sum("here").alias("there"))
+              .withColumn("ahead", F.coalesce(F.sum("there").over(before("rank").orderBy("group")), F.lit(0))).drop("there"))
+    ahead = F.col("ahead") + F.coalesce(F.sum("here").over(before("rank", "group").orderBy("block")), F.lit(0))
+    running = grouped.join(groups, ["rank", "group"]).withColumn("ahead", ahead).where("ahead < need")
+    whole, cut = running.where("ahead + here <= need"), running.where("ahead + here > need")
+    end = F.sum("words").over(Window.partitionBy("rank", "block").orderBy(*UNIT))
+    # One block per source is cut: its units in order, as many as fit.
+    within = fits.drop("need").join(cut.select("rank", "block", (F.col("need") - F.col("ahead")).alias("upto")), ["rank", "block"])
+    within = within.withColumn("end", end).where("end <= upto")
+    return fits.join(whole.select("rank", "block"), ["rank", "block"]).select(*UNIT, "rank", "block", "words").unionByName(
+        within.select(*UNIT, "rank", "block", "words"))
+
+
+def fitting(units: DataFrame, plan: DataFrame, near: float, most: float) -> DataFrame:
+    """(unit_a, unit_b, rank, block, words, epoch): the documents of the epochs that are not whole.
+
+    Every round leaves out what is longer than the words still needed and takes the others in order while they fit;
+    so what stopped one round is left out of the next. When none is left that fits, those that do come again, up to
+    ``most`` times in all. At the end one more document may come in, if the source is nearer to its target with it
+    than without.
+    """
+    rest = units.withColumn("words", F.col("size") * F.col("rows")).where("words > 0").select(*UNIT, "rank", "block", "words")
+    columns = [*UNIT, "rank", "block", "words", "epoch"]
+    need = plan.select("rank", "target", "epochs", F.col("rest").alias("need"))
+
+    def taken_now(candidates: DataFrame, short: DataFrame, extra: int) -> DataFrame:
+        chosen = _fit_in_order(candidates, short.select("rank", "need")).join(short.select("rank", "epochs"), "rank")
+        return saved(chosen.withColumn("epoch", F.col("epochs") + extra).select(*columns), "fitting")
+
+    extra = 0
+    first = taken_now(rest, need, extra)
+    here, taken = first, first
+    while True:
+        got = taken.groupBy("rank").agg(F.sum("words").alias("got"))
+        left = saved(need.join(got, "rank", "left").select(
+            "rank", "target", "epochs", (F.col("need") - F.coalesce("got", F.lit(0))).alias("need")), "left")
+        short = left.where((F.col("need") > near * F.col("target")) & (F.col("epochs") + extra + 1 <= most))
+        if short.isEmpty():
+            break
+        more = taken_now(rest.join(here.select(*UNIT), UNIT, "left_anti"), short, extra)
+        if more.isEmpty():  # all that fit are in: once more from the beginning
+            extra, here = extra + 1, more
+            continue
+        here, taken = here.unionByName(more), taken.unionByName(more)
+    others = rest.join(taken.select(*UNIT), UNIT, "left_anti").join(
+        left.where((F.col("need") > near * F.col("target")) & (F.col("epochs") + 1 <= most)), "rank").where("words < 2 * need")
+    best = others.groupBy("rank", "epochs").agg(F.min(F.struct("words", *UNIT, "block")).alias("b"))
+    return taken.unionByName(best.select("b.unit_a", "b.unit_b", "rank", "b.block", "b.words", F.col("epochs").alias("epoch")))
+
+
+def drawn(units: DataFrame, last: DataFrame, placed: DataFrame) -> DataFrame:
     """(unit_a, unit_b, epoch, shard, place): every copy of a document that the mix takes, and its place in the shard."""
-    block = Window.partitionBy("rank", "block")
-    cut = placed.where("upto IS NOT NULL").select("rank", "block", "upto")
-    # The documents of a block that gives a part of its words: as many as fit, in their order, and
-    # one more if some document makes good most of what is then missing.
-    words = F.col("size") * F.col("rows")
-    within = (units.join(cut, ["rank", "block"]).where(words > 0)
-              .withColumn("_end", F.sum(words).over(block.orderBy("unit_a", "unit_b")))
-              .withColumn("_fits", F.col("_end") <= F.col("upto"))
-              .withColumn("_gap", F.col("upto") - F.max(F.when(F.col("_fits"), F.col("_end")).otherwise(0)).over(block))
-              .withColumn("_off", F.abs(F.col("_gap") - words))
-              .withColumn("_next", F.row_number().over(block.orderBy("_fits", "_off", "unit_a", "unit_b")))
-              .where("_fits OR (_next = 1 AND _off < _gap)").select(*UNIT, "rank", "block"))
-    copies = (units.join(placed.where("upto IS NULL"), ["rank", "block"]).select(*UNIT, "epoch", "shard")
-              .unionByName(within.join(placed.where("upto IS NOT NULL"), ["rank", "block"]).select(*UNIT, "epoch", "shard")))
+    whole = units.join(placed.where("NOT part"), ["rank", "block"]).select(*UNIT, "epoch", "shard")
+    copies = whole.unionByName(last.join(placed.where("part"), ["rank", "block", "epoch"]).select(*UNIT, "epoch", "shard"))
     return copies.withColumn("place", F.xxhash64("shard", "epoch", *UNIT))
 
 
@@ -221,8 +261,8 @@ def mixed_sizes(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
     source's epochs and the rest say, never more than ``most`` times. Rows alike in id, source and text are taken
     together. A source without words has target 0. An empty table gives an empty result; other columns are not read.
     """
-    units, aims, placed = placements(docs, doc_id, source, text, **how)
-    copies = drawn(units, placed).groupBy(UNIT).agg(F.count("*").alias("copies"))
+    units, aims, last, placed = placements(docs, doc_id, source, text, **how)
+    copies = drawn(units, last, placed).groupBy(UNIT).agg(F.count("*").alias("copies"))
     unit_a, unit_b = _unit(doc_id, source, text)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
                        unit_a.alias("unit_a"), unit_b.alias("unit_b"))
@@ -238,8 +278,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     Nulls, empty texts and repeated rows are taken as in ``mixed_sizes``; a text without words comes as often as
     its source's epochs.
     """
-    units, _, placed = placements(docs, doc_id, source, text, **how)
-    copies = drawn(units, placed).toDF("_llm_a", "_llm_b", "_llm_epoch", "_llm_shard", "_llm_place")
+    units, _, last, placed = placements(docs, doc_id, source, text, **how)
+    copies = drawn(units, last, placed).toDF("_llm_a", "_llm_b", "_llm_epoch", "_llm_shard", "_llm_place")
     unit_a, unit_b = _unit(doc_id, source, text)
     keyed = docs.withColumns({"_llm_a": unit_a, "_llm_b": unit_b})
     return (keyed.join(copies, ["_llm_a", "_llm_b"]).repartition("_llm_shard")

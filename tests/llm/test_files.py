@@ -197,9 +197,26 @@ def test_mix_comes_near_its_targets(spark, docs, no_docs):
     assert mix(docs).columns == docs.columns
 
 
+def test_mix_fills_its_target_behind_long_documents(spark):
+    """Dominating documents that do not fit are passed over; small ones behind them fill the target."""
+    rows = [(0, "w " * 20000, "a")] + [(i, "w " * 10, "a") for i in range(1, 1001)]
+    rows += [(2000 + i, "w " * 100, "b") for i in range(100)] + [(3000 + i, "w " * 100, "c") for i in range(300)]
+    rows += [(4000, "w " * 7000, "d"), (4001, "w " * 5000, "d")] + [(4002 + i, "w " * 30, "d") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    for blocks in (1 << 16, 2000):
+        got = mixed_sizes(df, block_words=blocks, shard_words=5000).collect()
+        taken, aim, most = Counter(), {}, {"a": 20, "b": 50, "c": 50, "d": 30}
+        for r in got:
+            taken[r.source] += r.taken
+            aim[r.source] = r.target
+        # Source a has 10,000 words that fit below its target, and none that would bring it nearer.
+        assert {s: round(abs(taken[s] - aim[s])) <= most[s] for s in aim} == dict.fromkeys("abcd", True), (taken, aim)
+        assert sorted(got) == sorted(mixed_sizes(df.repartition(3), block_words=blocks, shard_words=5000).collect())
+
+
 def test_every_instance_has_one_shard(spark):
     df = spark.createDataFrame([(i, "w " * 20, f"s{i % 3}") for i in range(300)], "doc_id bigint, text string, source string")
-    units, aims, placed = placements(df, block_words=100, shard_words=1500)
+    units, aims, last, placed = placements(df, block_words=100, shard_words=1500)
     rows = placed.collect()
     assert len({(r["rank"], r.block, r.epoch) for r in rows}) == len(rows)
     shards = Counter(r.shard for r in rows)
