@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from driver_checks import report_queries as r
 from jobtide.operators import groups, joins, windows
 from jobtide.plans import marts, quality, refresh
 from jobtide.sources import readers, writers
+from jobtide.sources.catalog import BRONZE, SEED_BRONZE, SEEDS
 
 QUERIES = {}
 ORACLE = {}
@@ -155,3 +157,72 @@ def quality_while_writing(spark, d):
             checked, metrics[name] = quality.observed(mart, quality.TABLE_CHECKS[name])
             done[name] = writers.save(checked, folder, "gold", name)
     return quality.report_of_writes(spark, metrics, done)
+
+
+# --- raw layout and exports --------------------------------------------------------------------
+
+_ROWS_OF = ["customer", "supplier", "part", "orders", "events", "documents"]
+_KEY_OF = ["c_custkey", "s_suppkey", "p_partkey", "o_orderkey", "event_id", "doc_id"]
+
+
+def _bronze_plan() -> dict[str, tuple[str, str, list[tuple[str, str]]]]:
+    """Each of the 32 tables: the fixture table it is made of, that one's key and the columns written.
+
+    Every third table lacks its last column in the files; tables that take their columns from the files get two.
+    """
+    plan = {}
+    for i, name in enumerate([*BRONZE, *SEED_BRONZE]):
+        if name in SEED_BRONZE:
+            fields = [(c, "string") for c in SEEDS[SEED_BRONZE[name]][2]]
+        elif BRONZE[name].schema is None:
+            fields = [("Task ID", "bigint"), ("Task", "string")]
+        else:
+            fields = [(f.name, f.dataType.simpleString()) for f in BRONZE[name].schema.fields]
+            fields = fields[:-1] if i % 3 == 0 and len(fields) > 1 else fields
+        plan[name] = (_ROWS_OF[i % 6], _KEY_OF[i % 6], fields)
+    return plan
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{name}' AS model, count(*) AS rows, count(*) * {len(fields)} AS filled, (sum({key}) * {len(fields)})::BIGINT AS total FROM {rows}"
+    for name, (rows, key, fields) in _bronze_plan().items()))
+def bronze_scans(spark, d):
+    """All raw tables written where the catalog has them, two files where a wildcard takes them, and scanned."""
+    root = q.scratch(spark)
+    for name, (rows, key, fields) in _bronze_plan().items():
+        table = s.table(spark, d, rows).select(F.col(key).alias("k")).select(
+            "k", *[F.col("k").cast(kind).alias(c) for c, kind in fields])
+        if name in SEED_BRONZE:
+            file, sep, _ = SEEDS[SEED_BRONZE[name]]
+            table.drop("k").write.csv(f"{root}/seeds/{file}", header=True, sep=sep)
+            continue
+        file = BRONZE[name].file.removeprefix("{").split(",")[0]
+        parts = [("1", table.where("k % 2 = 0")), ("2", table.where("k % 2 <> 0"))] if "*" in file else [("", table)]
+        for number, part in parts:
+            part.drop("k").write.parquet(f"{root}/{BRONZE[name].source}/{file.replace('*', number)}")
+    counts = []
+    for name, table in readers.bronze(spark, root).items():
+        cells = [F.col(f"`{c}`") for c in table.columns]
+        number = lambda c: F.coalesce(c.cast("double").cast("bigint"), F.lit(0).cast("bigint"))
+        counts.append(table.agg(
+            F.lit(name).alias("model"), F.count(F.lit(1)).alias("rows"), sum(F.count(c) for c in cells).alias("filled"),
+            sum(F.sum(number(c)) for c in cells).cast("decimal(38,0)").alias("total")))
+    return reduce(lambda a, b: a.unionByName(b), counts).withColumn("total", F.col("total").cast("bigint"))
+
+
+@query("""
+SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders""")
+def sorted_export(spark, d):
+    """Orders exported in order, and the place at which each one stands in the files."""
+    path = q.scratch(spark)
+    writers.export_csv(s.table(spark, d, "orders").select("o_orderkey", "o_totalprice"), path,
+                       [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()])
+    rows = spark.read.schema("o_orderkey bigint, o_totalprice double").csv(path, header=True).select(
+        "*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("id"))
+    sizes = rows.groupBy("file").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(windows.Window.orderBy("file").rowsBetween(windows.Window.unboundedPreceding, -1))
+    starts = sizes.select("file", F.coalesce(before, F.lit(0)).alias("start"))  # a row per file
+    at = F.row_number().over(windows.Window.partitionBy("file").orderBy("split", "id"))
+    return rows.withColumn("at", at).join(F.broadcast(starts), "file").select(
+        "o_orderkey", "o_totalprice", (F.col("start") + F.col("at")).alias("place"))

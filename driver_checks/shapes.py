@@ -65,13 +65,13 @@ def job_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alternate_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segment and nation of the customers in three of the five segments."""
-    people = table(spark, sf_dir, "customer").where(
-        ~F.col("c_mktsegment").isin("HOUSEHOLD", "MACHINERY")
-    ).select("c_mktsegment", F.col("c_nationkey").alias("n_nationkey")).distinct()
+    """Segment and nation of all customers; two of the five segments go by a title that no posting has."""
+    people = table(spark, sf_dir, "customer").select(
+        "c_mktsegment", F.col("c_nationkey").alias("n_nationkey")).distinct()
+    other = F.when(F.col("c_mktsegment").isin("HOUSEHOLD", "MACHINERY"), "other")
     return people.join(table(spark, sf_dir, "nation"), "n_nationkey").select(
         nation_code().alias("O*NET-SOC Code"),
-        F.concat_ws(" ", "c_mktsegment", "n_name").alias("Alternate Title"),
+        F.concat_ws(" ", other, "c_mktsegment", "n_name").alias("Alternate Title"),
         F.col("c_mktsegment").alias("Short Title"),
     )
 
@@ -126,11 +126,11 @@ def education(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def education_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Months that occur, described for two of the five priorities."""
-    described = table(spark, sf_dir, "orders").where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
-    return described.select(
+    """Months that occur, described for all priorities; three of the five under a name that no rating has."""
+    other = F.when(~F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "other")
+    return table(spark, sf_dir, "orders").select(
         F.lit("2.D.1").alias("Element ID"),
-        F.col("o_orderpriority").alias("Element Name"),
+        F.concat_ws(" ", other, "o_orderpriority").alias("Element Name"),
         F.lit("RL").alias("Scale ID"),
         F.month("o_orderdate").cast("string").alias("Category"),
         F.lit("described").alias("Category Description"),

@@ -12,6 +12,7 @@ from jobtide.fixed_values import LABOR_SERIES, MACRO_SERIES, NOISE_NAMES, NOISE_
 from jobtide.functions.numbers import round_to
 from jobtide.operators.reshape import date_spine
 from jobtide.plans import dimensions, facts, marts, postings
+from jobtide.session import written
 from jobtide.sources.readers import built_in_seeds
 
 AS_OF = dt.date(2001, 6, 15)
@@ -126,23 +127,30 @@ def posting_skills(spark, d):
 # --- marts on the facts that the raw feeds give ----------------------------------------------
 
 
+def _fact(spark, d):
+    """The postings fact as a run has it: written once, then read by all that needs it."""
+    return written(job_postings(spark, d), "fct_job_postings")
+
+
 def chain_market_snapshot(spark, d):
-    return marts.market_snapshot(job_postings(spark, d))
+    return marts.market_snapshot(_fact(spark, d))
 
 
-def _chain_mentions(spark, d):
-    return marts.role_mentions(marts.posting_skill_joined(posting_skills(spark, d), job_postings(spark, d)))
+def _chain_mentions(spark, d, postings):
+    return marts.role_mentions(marts.posting_skill_joined(posting_skills(spark, d), postings))
 
 
 def chain_role_top_skills(spark, d):
+    postings = _fact(spark, d)
     return marts.role_top_skills(
-        _chain_mentions(spark, d), marts.qualified_roles(job_postings(spark, d)), s.dim_occupations(spark, d),
+        _chain_mentions(spark, d, postings), marts.qualified_roles(postings), s.dim_occupations(spark, d),
         s.dim_skills(spark, d))
 
 
 def chain_skills_profile(spark, d):
+    postings = _fact(spark, d)
     return marts.occupation_skills_profile(
-        _chain_mentions(spark, d), marts.qualified_roles(job_postings(spark, d)), s.dim_technology(spark, d),
+        _chain_mentions(spark, d, postings), marts.qualified_roles(postings), s.dim_technology(spark, d),
         s.dim_occupations(spark, d))
 
 
@@ -530,9 +538,9 @@ SELECT full_date, strftime(full_date, '%Y%m%d')::INTEGER AS date_key, year(full_
 FROM d""",
     "title_mapping": f"""
 SELECT DISTINCT {o.CODE} AS onet_soc_code, ({o.CODE})[1:7] AS soc_code,
-  lower(c_mktsegment || ' ' || n_name) AS title_lower, lower(c_mktsegment) AS short_title_lower,
-  'alternate_title' AS title_source
-FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment NOT IN ('HOUSEHOLD', 'MACHINERY')
+  lower(if(c_mktsegment IN ('HOUSEHOLD', 'MACHINERY'), 'other ', '') || c_mktsegment || ' ' || n_name) AS title_lower,
+  lower(c_mktsegment) AS short_title_lower, 'alternate_title' AS title_source
+FROM customer JOIN nation ON c_nationkey = n_nationkey
 UNION ALL
 SELECT {o.CODE}, ({o.CODE})[1:7], lower('occupation ' || n_name), lower('occupation ' || n_name),
   'occupation_title' FROM nation""",
