@@ -107,7 +107,7 @@ def test_repair_matches_brute_force(spark):
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], f"{TURNS}, audit string, copy int").repartition(5)
     got = results(damaged_and_repaired(df))
     assert got == brute(rows)
-    assert any("I" in r[6] for r in got.values()) and any("R" in r[6] for r in got.values())
+    assert all(any(edit in r[6] for r in got.values()) for edit in "KRD")  # an insertion never beats a deletion
     assert results(damaged_and_repaired(df.limit(0))) == {}
 
 
