@@ -66,10 +66,10 @@ class Encoder:
                 older.update(known)
                 known.clear()
                 new = set(words)
-            met = new.intersection(older)
+            met = [word for word in new if word in older]
             known.update(zip(met, map(older.__getitem__, met)))
             if len(met) < len(new):
-                self._learn(new - met)
+                self._learn(new.difference(met))
         return np.frombuffer(b"".join([*map(known.__getitem__, words), end]), "<u4")
 
     def _learn(self, words: set[bytes]) -> None:
