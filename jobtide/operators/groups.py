@@ -12,13 +12,11 @@ from pyspark.sql import types as T
 from jobtide.functions.dates import month_start
 from jobtide.functions.text import not_blank
 from jobtide.operators.joins import Keys, as_list, join_null_safe
-from jobtide.operators.windows import top_k_per_group
+from jobtide.operators.windows import in_order, range_number, top_k_per_group
 from jobtide.session import written
 
-# How values are cut into buckets, see exact_percentiles: the low bits of an INT, else splitters.
+# How INT values are cut into buckets, see exact_percentiles: by the bits above these.
 _LOW_BITS = 16
-_SPLITTERS = 1024
-_ACCURACY = 20_000
 
 
 def group_stats(df: DataFrame, keys: Keys, **specs: Column) -> DataFrame:
@@ -82,18 +80,15 @@ def bitmap_counts(bitmaps: DataFrame, keys: Keys, name: str) -> DataFrame:
 
 
 def _with_buckets(counts: DataFrame, keys: list[str], kind: T.DataType) -> DataFrame:
-    """counts (keys, __v, __n) with a ``__bucket`` that rises with the value.
+    """counts (keys, __v, __n) with a ``__bucket`` that rises with the value within a group.
 
-    Whole numbers of 32 bits have 65,536 buckets of as many values. Other numbers have buckets
-    between 1,024 splitters of their group, approximate quantiles of its different values; they
-    only decide how evenly the values spread, never which rank a value has.
+    Whole numbers of 32 bits have 65,536 buckets of as many values. Other numbers are sorted by group and value and
+    written once; their buckets are the ranges of that order, which hold about as many rows each however the
+    values lie and however many groups there are.
     """
     if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
         return counts.withColumn("__bucket", F.shiftright(F.col("__v").cast("int"), _LOW_BITS))
-    at = [i / _SPLITTERS for i in range(1, _SPLITTERS)]
-    splitters = group_stats(counts, keys, __at=F.array_distinct(F.percentile_approx("__v", at, _ACCURACY)))
-    joined = join_null_safe(counts, splitters, keys, "inner")
-    return joined.withColumn("__bucket", F.size(F.filter("__at", lambda x: x < F.col("__v")))).drop("__at")
+    return in_order(counts, keys, "__v").select(*counts.columns, range_number().alias("__bucket"))
 
 
 def exact_percentiles(df: DataFrame, keys: Keys, value: str,

@@ -51,7 +51,8 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 _PLACE = "__place"
 
 
-def _range() -> Column:
+def range_number() -> Column:
+    """The range of a row of :func:`in_order`."""
     return F.shiftright(F.col(_PLACE), 33)
 
 
@@ -72,11 +73,11 @@ def _edges(placed: DataFrame, keys: Sequence[str], steps: int) -> tuple[DataFram
     A bound cuts one key at most, so both have ``steps`` rows per range at most.
     """
     whole, by_range = F.struct(*keys), Window.orderBy("__range")
-    ends = placed.groupBy(_range().alias("__range")).agg(F.min(whole).alias("__first"), F.max(whole).alias("__last"))
+    ends = placed.groupBy(range_number().alias("__range")).agg(F.min(whole).alias("__first"), F.max(whole).alias("__last"))
     cut = ends.select("__range", "__first", "__last",
                       F.col("__first").eqNullSafe(F.lag("__last").over(by_range)).alias("__from_before"),
                       F.col("__last").eqNullSafe(F.lead("__first").over(by_range)).alias("__goes_on"))
-    near = placed.withColumn("__range", _range()).join(F.broadcast(cut), "__range")  # a row per range
+    near = placed.withColumn("__range", range_number()).join(F.broadcast(cut), "__range")  # a row per range
     heads = near.where(F.col("__from_before") & whole.eqNullSafe(F.col("__first")))
     tails = near.where(F.col("__goes_on") & whole.eqNullSafe(F.col("__last")))
     return (top_k_per_group(heads, "__range", [F.col(_PLACE).asc()], steps).select(*placed.columns),
@@ -98,14 +99,14 @@ def with_prev(df: DataFrame, key: Sequence[str] | str, order: str, columns: dict
         spec = Window.partitionBy(*within).orderBy(_PLACE)
         return rows.withColumns({new: F.lag(old, steps).over(spec) for new, old in columns.items()})
 
-    if not placed.agg(F.max(_range())).first()[0]:  # one range
+    if not placed.agg(F.max(range_number())).first()[0]:  # one range
         return lagged(placed, *keys).select(*result)
     heads, tails = _edges(placed, keys, steps)
     tails = tails.join(heads.select(_PLACE), _PLACE, "left_anti")
     near = heads.withColumn("__head", F.lit(True)).unionByName(tails.withColumn("__head", F.lit(False)))
     carried = lagged(near, *keys).where("__head").select(
         F.col(_PLACE).alias("__at"), F.struct(*columns).alias("__carried"))
-    inside = lagged(placed, _range(), *keys).join(F.broadcast(carried), F.col(_PLACE) == F.col("__at"), "left")
+    inside = lagged(placed, range_number(), *keys).join(F.broadcast(carried), F.col(_PLACE) == F.col("__at"), "left")
     return inside.withColumns({
         new: F.when(F.col("__at").isNotNull(), F.col(f"__carried.`{new}`")).otherwise(F.col(f"`{new}`")) for new in columns
     }).select(*result)

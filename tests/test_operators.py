@@ -213,3 +213,27 @@ def test_start_settings_leave_the_session_alone():
     from jobtide.plans.pipeline import start_settings
     assert start_settings(None) == {}
     assert list(start_settings("40000").values()) == ["40000"]
+
+
+def test_percentiles_of_wide_numbers_search_no_splitters(spark):
+    """Buckets are ranges of the sorted values: no list of bounds per group is joined to each row and searched."""
+    df = spark.range(0, 6000, 1, 4).selectExpr("id % 3 AS k", "pow(10D, id % 300) * if(id % 2 = 0, 1, -1) AS d", "id * 3000000000 AS b")
+    for value in ("d", "b"):
+        found = groups.exact_percentiles(df, "k", value, {"p25": 0.25, "p50": 0.5, "p99": 0.99})
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "percentile_approx" not in plan and "lambda" not in plan
+        got = {r["k"]: r for r in found.collect()}
+        for k in range(3):
+            values = [r[0] for r in df.where(F.col("k") == k).select(value).collect()]
+            for name, p in (("p25", 25), ("p50", 50), ("p99", 99)):
+                assert got[k][name] == pytest.approx(np.percentile(values, p)), (k, value, name)
+
+
+def test_percentiles_of_wide_numbers_with_null_keys_and_odd_values(spark):
+    nan = float("nan")
+    df = spark.createDataFrame(
+        [(None, 1.5), (None, 2.5), ("a", 0.0), ("a", -0.0), ("a", None), ("b", nan), ("b", 1.0), ("b", float("-inf")), ("c", None)],
+        "k string, v double")
+    got = {r["k"]: r["m"] for r in groups.exact_percentiles(df, ["k"], "v", {"m": 0.5}).collect()}
+    assert got == {None: 2.0, "a": 0.0, "b": 1.0}
+    assert groups.exact_percentiles(df.where("k = 'a'"), [], "v", {"m": 1.0}).first()["m"] == 0.0
