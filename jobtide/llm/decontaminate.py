@@ -21,6 +21,8 @@ from jobtide.llm.common import release, row_hash, saved
 TEST_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The same words before lower-casing.
 RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Stands behind the last word of each text in the index of contamination; no word has a blank.
+END = " "
 BROADCAST_BYTES = 8 << 20
 ROW = ["row_a", "row_b"]
 
@@ -66,9 +68,14 @@ def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return terms.join(_small(vocabulary, "term"), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
 
 
-def postings(docs: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
-    """The index of docs (row_a, row_b, text): (term, row_a, row_b, positions), of all terms or the vocabulary's."""
-    terms = docs.select(*ROW, F.posexplode(index_terms(F.col("text"))).alias("position", "term"))
+def postings(docs: DataFrame, vocabulary: DataFrame | None = None, end: bool = False) -> DataFrame:
+    """The index of docs (row_a, row_b, text): (term, row_a, row_b, positions), of all terms or the vocabulary's.
+
+    With ``end`` the vocabulary may have END, whose position in a text is its number of words.
+    """
+    words = index_terms(F.col("text"))
+    words = F.array_append(words, END) if end else words
+    terms = docs.select(*ROW, F.posexplode(words).alias("position", "term"))
     if vocabulary is not None:
         terms = terms.join(_small(vocabulary, "term"), "term", "left_semi")
     return terms.groupBy("term", *ROW).agg(F.array_sort(F.collect_set("position")).alias("positions"))
@@ -135,21 +142,25 @@ def contamination(docs: DataFrame, tests: DataFrame, doc_id: str = "doc_id", ite
     vocabulary = saved(unique.select(F.explode("terms").alias("term")).distinct(), "vocabulary")
     counts = saved(term_counts(keyed, vocabulary), "counts")
     terms = saved(rarest(unique, counts, lists), "terms")
-    asked = saved(terms.select("term").distinct(), "asked")
-    index = saved(postings(keyed, asked), "postings")
+    asked = saved(terms.select("term").distinct().unionByName(docs.sparkSession.range(1).select(F.lit(END).alias("term"))), "asked")
+    index = saved(postings(keyed, asked, end=True), "postings")
     release(docs.sparkSession)
-    found = (intersect(index, terms, lists).distinct().join(unique.select("pid", "phrase", "length"), "pid")
-             .groupBy(ROW).agg(F.collect_list(F.struct("start", "length", "phrase", "pid")).alias("found")))
+    # The number of words comes from the index too: cutting every text once more costs as much as the index itself.
+    ends = index.where(F.col("term") == END).select(*ROW, F.col("positions")[0].cast("bigint").alias("n_words"))
+    placed = (intersect(index.where(F.col("term") != END), terms, lists).distinct()
+              .join(unique.select("pid", "phrase", "length"), "pid").select(*ROW, F.struct("start", "length", "phrase", "pid").alias("at")))
+    found = placed.unionByName(ends, allowMissingColumns=True).groupBy(ROW).agg(
+        F.collect_list("at").alias("found"), F.max("n_words").alias("n_words"))
 
     raw = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(RAW_WORD), F.lit(0))
     lower = f"'{string.ascii_uppercase}', '{string.ascii_lowercase}'"
-    checked = (keyed.join(found, ROW, "left")
+    checked = (keyed.join(found, ROW)
                # A lambda over an array of one binds the words, so that they are cut once per text.
-               .withColumn("words", F.when(F.col("found").isNotNull(), F.array(raw)))
+               .withColumn("words", F.when(F.size("found") > 0, F.array(raw)))
                .withColumn("hits", F.expr(
                    "transform(words, w -> filter(found, f -> "
                    f"translate(array_join(slice(w, f.start + 1, f.length), ' '), {lower}) = f.phrase))[0]"))
-               .select("doc_id", *ROW, F.regexp_count(F.coalesce("text", F.lit("")), F.lit(RAW_WORD)).cast("bigint").alias("n_words"),
+               .select("doc_id", *ROW, "n_words",
                        F.expr("coalesce(array_sort(transform(hits, h -> struct(h.start, h.length, h.pid))), array())")
                        .cast("array<struct<start: int, length: int, pid: bigint>>").alias("hits")))
     checked = saved(checked.withColumn("n_hit", F.expr(

@@ -172,3 +172,20 @@ def test_pipeline_keeps_the_contracts_values(spark):
     df = spark.createDataFrame([(1, base), (2, edited(base, 5, 1)), (3, edited(base, 6, 60)), (4, base)], "doc_id bigint, text string")
     near = (fingerprint_of(base) ^ fingerprint_of(edited(base, 5, 1))).bit_count() <= 3
     assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()} == ({1, 3} if near else {1, 2, 3})
+
+
+def test_contamination_cuts_each_text_twice(spark, monkeypatch):
+    """Words are counted by the index: no pass over the texts of its own; null, empty and repeated rows have their counts too."""
+    from jobtide.llm import decontaminate
+
+    docs = spark.createDataFrame(
+        [(1, "One two THREE, four"), (1, "One two THREE, four"), (2, None), (3, ""), (4, "İx ς-K 9 — é"), (5, " ,. "), (None, "two three")],
+        "doc_id long, text string")
+    tests = spark.createDataFrame([("t", "two three")], "item_id string, text string")
+    counted, plain = [], decontaminate.F.regexp_count
+    monkeypatch.setattr(decontaminate.F, "regexp_count", lambda *a: counted.append(a) or plain(*a))
+    got = sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in contamination(docs, tests).collect()), key=str)
+    words = lambda t: len(re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t or ""))
+    hit = {"One two THREE, four", "two three"}
+    assert got == sorted(((r["doc_id"], words(r["text"]), *((2, ["t"]) if r["text"] in hit else (0, []))) for r in docs.collect()), key=str)
+    assert not counted
