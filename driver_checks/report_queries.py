@@ -25,7 +25,9 @@ MARTS = [
 
 
 def all_marts(spark, d):
-    return {f"gold_{n}": t.QUERIES[n](spark, d) for n in MARTS}
+    """The marts of one run; the facts behind them are written once, not derived again for every mart and check."""
+    facts = t.written_facts(spark, d)
+    return {f"gold_{n}": t.QUERIES[n](spark, d, facts) for n in MARTS}
 
 
 def leading_role_skills(spark, d):

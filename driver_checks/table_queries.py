@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driver_checks import oracle_parts as o
@@ -25,44 +27,66 @@ def joined(spark, d):
     return marts.posting_skill_joined(s.skills(spark, d), s.postings(spark, d))
 
 
-def market_snapshot(spark, d):
-    return marts.market_snapshot(s.postings(spark, d))
+class Facts(NamedTuple):
+    """What several marts read."""
 
+    postings: DataFrame
+    joined: DataFrame
+    mentions: DataFrame
+    roles: DataFrame
 
-def market_trends(spark, d):
-    return marts.market_trends(s.postings(spark, d))
 
+def facts_of(spark, d) -> Facts:
+    postings, mentioned = s.postings(spark, d), joined(spark, d)
+    return Facts(postings, mentioned, marts.role_mentions(mentioned), marts.qualified_roles(postings))
 
-def economic_dashboard(spark, d):
+
+def written_facts(spark, d) -> Facts:
+    """The facts as a run of all marts has them: each written once, then read by all that need it."""
+    postings = written(s.postings(spark, d), "postings")
+    mentioned = written(marts.posting_skill_joined(s.skills(spark, d), postings), "joined")
+    return Facts(postings, mentioned, written(marts.role_mentions(mentioned), "mentions"),
+                 written(marts.qualified_roles(postings), "roles"))
+
+
+def market_snapshot(spark, d, facts=None):
+    return marts.market_snapshot((facts or facts_of(spark, d)).postings)
+
+
+def market_trends(spark, d, facts=None):
+    return marts.market_trends((facts or facts_of(spark, d)).postings)
+
+
+def economic_dashboard(spark, d, facts=None):
     return marts.economic_dashboard(s.labor_fact(spark, d), s.macro_fact(spark, d))
 
 
-def role_analysis(spark, d):
+def role_analysis(spark, d, facts=None):
     roles = marts.role_analysis(
-        s.postings(spark, d), s.dim_occupations(spark, d), s.dim_education(spark, d), AS_OF)
+        (facts or facts_of(spark, d)).postings, s.dim_occupations(spark, d), s.dim_education(spark, d), AS_OF)
     # Sums of doubles differ in the last bits with the order of addition.
     shares = ["pct_bachelors_degree", "pct_masters_degree", "pct_doctoral_degree"]
     return roles.withColumns({c: round_to(F.col(c), 2) for c in shares})
 
 
-def role_top_skills(spark, d):
-    return marts.role_top_skills(
-        marts.role_mentions(joined(spark, d)), marts.qualified_roles(s.postings(spark, d)), s.dim_occupations(spark, d),
-        s.dim_skills(spark, d))
+def role_top_skills(spark, d, facts=None):
+    facts = facts or facts_of(spark, d)
+    return marts.role_top_skills(facts.mentions, facts.roles, s.dim_occupations(spark, d), s.dim_skills(spark, d))
 
 
-def skills_demand(spark, d):
-    return marts.skills_demand(joined(spark, d), s.postings(spark, d))
+def skills_demand(spark, d, facts=None):
+    facts = facts or facts_of(spark, d)
+    return marts.skills_demand(facts.joined, facts.postings)
 
 
-def metro_comparison(spark, d):
-    return marts.metro_comparison(s.postings(spark, d), s.metro_bridge(spark, d), s.dim_metros(spark, d))
+def metro_comparison(spark, d, facts=None):
+    return marts.metro_comparison((facts or facts_of(spark, d)).postings, s.metro_bridge(spark, d), s.dim_metros(spark, d))
 
 
-def occupation_skills_profile(spark, d):
+def occupation_skills_profile(spark, d, facts=None):
+    facts = facts or facts_of(spark, d)
     return marts.occupation_skills_profile(
-        marts.role_mentions(joined(spark, d)), marts.qualified_roles(s.postings(spark, d)), s.dim_technology(spark, d),
-        s.dim_occupations(spark, d))
+        facts.mentions, facts.roles, s.dim_technology(spark, d), s.dim_occupations(spark, d))
 
 
 # --- dimensions ---------------------------------------------------------------------------
