@@ -73,13 +73,14 @@ def drop_non_skills(df: DataFrame, column: str = "skill_name") -> DataFrame:
 def posting_skills(linkedin_skills: DataFrame, mapping_skills: DataFrame, large_skills: DataFrame,
                    science_skills: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Posting × skill, each pair once per source, with skill names normalised and noise removed."""
-    coded = resolve_codes(
-        linkedin_skills, mapping_skills.where(not_blank(F.col("skill_name"))), "skill_abr", "skill_name"
-    ).select(
-        F.col("job_id").cast("string").alias("posting_id"),
-        norm(F.col("skill_name")).alias("skill_name"),
-        F.lit(LINKEDIN).alias("data_source"),
-    )
+    def cleaned(df: DataFrame) -> DataFrame:
+        return drop_non_skills(apply_dictionary(df, dictionary, "skill_name", "raw_skill", "canonical_skill"))
+
+    # A code's name is cleaned once in the mapping, not on every row that has the code.
+    names = cleaned(mapping_skills.where(not_blank(F.col("skill_name"))).select(
+        "skill_abr", norm(F.col("skill_name")).alias("skill_name")))
+    coded = resolve_codes(linkedin_skills, names, "skill_abr", "skill_name").select(
+        F.col("job_id").cast("string").alias("posting_id"), "skill_name", F.lit(LINKEDIN).alias("data_source"))
 
     def listed(df: DataFrame, source: str) -> DataFrame:
         rows = df.where(not_blank(F.col("job_skills"))).select("job_link", "job_skills")
@@ -89,11 +90,8 @@ def posting_skills(linkedin_skills: DataFrame, mapping_skills: DataFrame, large_
             F.lit(source).alias("data_source"),
         )
 
-    raw = union_sources(
-        coded, listed(large_skills, LINKEDIN_LARGE), listed(science_skills, DATA_SCIENCE)
-    )
-    named = apply_dictionary(raw, dictionary, "skill_name", "raw_skill", "canonical_skill")
-    return drop_non_skills(named).select("posting_id", "skill_name", "data_source").distinct()
+    raw = union_sources(listed(large_skills, LINKEDIN_LARGE), listed(science_skills, DATA_SCIENCE))
+    return union_sources(coded, cleaned(raw)).select("posting_id", "skill_name", "data_source").distinct()
 
 
 def labor_observations(series: DataFrame) -> DataFrame:

@@ -65,8 +65,9 @@ def linkedin_enriched(postings: DataFrame, salaries: DataFrame, job_skills: Data
         "skill_abr", "skill_name",
     )
     skills = agg_distinct_list(named, "job_id", F.col("skill_name"), "skills_array")
-    joined = left_chain(postings, linkedin_salaries(salaries), skills, on="job_id")
-    return joined.select(
+    # Cleaned before the joins: once per job, however many salary rows it has.
+    jobs = postings.select(
+        "job_id",
         F.col("job_id").cast("string").alias("posting_id"),
         norm(F.col("title")).alias("job_title"),
         trimmed(F.col("description")).alias("description"),
@@ -79,10 +80,9 @@ def linkedin_enriched(postings: DataFrame, salaries: DataFrame, job_skills: Data
         F.col("remote_allowed").cast("boolean").alias("is_remote"),
         F.col("views").cast("int").alias("view_count"),
         F.col("applies").cast("int").alias("apply_count"),
-        "annual_salary_estimate",
-        "skills_array",
-        F.lit(LINKEDIN).alias("data_source"),
     )
+    joined = left_chain(jobs, linkedin_salaries(salaries), skills, on="job_id")
+    return joined.select(*jobs.columns[1:], "annual_salary_estimate", "skills_array", F.lit(LINKEDIN).alias("data_source"))
 
 
 def _listings(postings: DataFrame) -> DataFrame:

@@ -7,8 +7,11 @@ import datetime as dt
 import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 from feeds import DEV, SCI, write_raw
+from jobtide.fixed_values import NOISE_NAMES
+from jobtide.plans import facts, postings
 from jobtide.plans.pipeline import MARTS, run
 from jobtide.plans.quality import TABLE_CHECKS
 
@@ -232,3 +235,64 @@ def test_marts_push_filters_and_prune_columns(spark, tables):
     scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
     assert "EqualTo(soc_match_type,exact_match)" in scan
     assert "description" not in scan.split("ReadSchema")[1]
+
+
+def test_coded_names_are_cleaned_in_the_mapping(spark, monkeypatch):
+    """The dictionary and the noise filter meet a code's name once, before the rows that have the code."""
+    links = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (2, "c"), (3, "d"), (3, "e"), (4, None), (None, "a")], "job_id long, skill_abr string")
+    mapping = spark.createDataFrame(
+        [("a", " JS "), ("b", "JavaScript"), ("b", "Go"), ("c", NOISE_NAMES[0]), ("d", " "), ("e", None), (None, "SQL")],
+        "skill_abr string, skill_name string")
+    listed = spark.createDataFrame([("9", "js, SQL")], "job_link string, job_skills string")
+    dictionary = spark.createDataFrame([("js", "javascript")], "raw_skill string, canonical_skill string")
+    plain, cleaned = facts.drop_non_skills, []
+    monkeypatch.setattr(facts, "drop_non_skills", lambda df: cleaned.append(df.columns) or plain(df))
+    found = facts.posting_skills(links, mapping, listed, listed.limit(0), dictionary)
+    assert {(r["posting_id"], r["skill_name"]) for r in found.collect()} == {
+        ("1", "javascript"), ("1", "go"), ("2", "javascript"), ("2", "go"), ("9", "javascript"), ("9", "sql"), (None, "javascript")}
+    assert found.count() == 7
+    assert ["skill_abr", "skill_name"] in cleaned
+
+
+def test_jobs_are_cleaned_before_salary_rows_multiply_them(spark, monkeypatch):
+    """Texts are normalised once per job, not once per job and salary row; rows and columns stay."""
+    columns = ("job_id long, title string, description string, location string, company_name string, company_id double, "
+               "formatted_work_type string, formatted_experience_level string, listed_time double, remote_allowed double, views double, applies double")
+    jobs = spark.createDataFrame([
+        (1, " Dev ", " d ", " X", "Co ", 7.0, "Full", "Mid", 86400000.0, 1.0, 3.0, None),
+        (None, "Ops", None, None, None, None, None, None, None, None, None, None)], columns)
+    pay = spark.createDataFrame([(1, None, 90000.0, None, "YEARLY", "USD"), (1, None, 80000.0, None, "YEARLY", "USD")],
+                                "job_id long, max_salary double, med_salary double, min_salary double, pay_period string, currency string")
+    links = spark.createDataFrame([(1, "a"), (1, "b")], "job_id long, skill_abr string")
+    mapping = spark.createDataFrame([("a", "SQL"), ("b", "Go")], "skill_abr string, skill_name string")
+    met, plain = [], postings.left_chain
+    monkeypatch.setattr(postings, "left_chain", lambda first, *others, on: met.append(first.columns) or plain(first, *others, on=on))
+    found = postings.linkedin_enriched(jobs, pay, links, mapping)
+    assert "job_title" in met[0] and "title" not in met[0]
+    assert found.columns == [
+        "posting_id", "job_title", "description", "location", "company_name", "company_id", "work_type", "experience_level",
+        "posted_at", "is_remote", "view_count", "apply_count", "annual_salary_estimate", "skills_array", "data_source"]
+    got = sorted(map(tuple, found.collect()), key=str)
+    assert [(r[0], r[1], r[2], r[3], r[4], r[5], r[9], r[10], r[12], r[13]) for r in got if r[0]] == [
+        ("1", "dev", "d", "x", "co", 7, True, 3, pay, ["go", "sql"]) for pay in (80000, 90000)]
+    assert [(r[1], r[12]) for r in got if r[0] is None] == [("ops", None)]
+
+
+def test_marts_of_one_run_read_written_facts(spark, tmp_path, monkeypatch):
+    from driver_checks import report_queries, table_queries
+
+    made = []
+    monkeypatch.setattr(table_queries.s, "postings", lambda k, d: made.append("postings") or spark.createDataFrame(
+        [("1", "a", "x", dt.datetime(2024, 1, 1), "LINKEDIN", "15-1.00")],
+        "posting_id string, job_title string, company_name string, posted_at timestamp_ntz, data_source string, onet_soc_code string")
+        .withColumn("soc_match_type", F.lit("exact_match")))
+    monkeypatch.setattr(table_queries.s, "skills", lambda k, d: made.append("skills") or spark.createDataFrame(
+        [("1", "sql", "LINKEDIN"), (None, "sql", "LINKEDIN")], "posting_id string, skill_name string, data_source string"))
+    seen = []
+    for name in report_queries.MARTS:
+        monkeypatch.setitem(table_queries.QUERIES, name, lambda k, d, facts, name=name: seen.append(facts) or facts.postings)
+    report_queries.all_marts(spark, "nowhere")
+    assert made.count("postings") == 1 and made.count("skills") == 1
+    assert all(facts is seen[0] for facts in seen) and len(seen) == len(report_queries.MARTS)
+    assert seen[0].mentions.collect()[0].asDict() == {"onet_soc_code": "15-1.00", "skill_name": "sql", "mention_count": 1}
+    assert all("part-" in f for table in seen[0] for f in table.inputFiles())
