@@ -8,6 +8,7 @@ pages have a given size, and Parquet's page indexes let a reader with a filter o
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -27,10 +28,80 @@ FLUSH_IDS = 1 << 20     # ids in an Arrow batch, more only within one document
 
 # A-Z before UTF-8 that begins no letter of the Latin, Greek, Cyrillic blocks and no general punctuation.
 _MARKED = re.compile(rb"[A-Z](?:[\xcc\xcd\xd2\xd6-\xe1\xe3-\xf4]|\xe2(?!\x80))")
+_TAIL = b".,;:!?)]}\"#$%&*"  # punctuation cut from the end of a word of letters
+
+
+class _Letters(dict):
+    """What a tokenizer's normalizer and pre-tokenizer make of a letter within a word; a table of ``str.translate``.
+
+    Below the Hangul jamo no two letters compose, so that letters stand for themselves. Raises ValueError for
+    one that they cut off, drop or turn into more than letters.
+    """
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.normal, self.cut = tokenizer.normalizer, tokenizer.pre_tokenizer
+        # An added token that begins with a letter may be found anywhere in a word.
+        self.known = self.cut is not None and not any(
+            t.content[:1].isalpha() for t in tokenizer.get_added_tokens_decoder().values())
+
+    def __missing__(self, code: int) -> str:
+        pieces = []
+        if self.known and code < 0x1100:
+            text = "a" + chr(code)
+            text = text if self.normal is None else self.normal.normalize_str(text)
+            pieces = self.cut.pre_tokenize_str(text) if text.isalpha() else []
+        if len(pieces) != 1 or pieces[0][0][:1] != "a" or len(pieces[0][0]) < 2:
+            raise ValueError(code)
+        self[code] = pieces[0][0][1:]
+        return self[code]
+
+
+class _Words(dict):
+    """The ids of words as the bytes of 32-bit integers, learned from the tokenizer when first looked up.
+
+    A word of letters alone goes to the tokenizer's model at once; in all others the whole tokenizer runs.
+    """
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer, self.model, self.letters, self.older = tokenizer, tokenizer.model, _Letters(tokenizer), {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            core = word.rstrip(_TAIL)
+            piece = self._piece(core)
+            if piece is None:
+                ids = self.whole(word.decode())
+            elif len(core) < len(word):
+                ids = self[core] + self[word[len(core):]]
+            else:
+                found = self.model.tokenize(piece)
+                ids = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+        self[word] = ids
+        return ids
+
+    def _piece(self, core: bytes) -> str | None:
+        text = core.decode()
+        try:
+            return text.translate(self.letters) if text.isalpha() else None
+        except ValueError:
+            return None
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def trim(self) -> None:
+        """What was met since the last time stays, the rest goes."""
+        if len(self) > CACHED_WORDS:
+            self.older.clear()
+            self.older.update(self)
+            self.clear()
 
 
 class Encoder:
-    """Encodes texts word by word and remembers the ids of words, as the bytes of 32-bit integers.
+    """Encodes texts word by word and remembers the ids of words.
 
     In a tokenizer that drops white space and splits letters from punctuation, no token spans a blank or
     the place where a word of letters ends and its punctuation begins. The ids of a text are then those
@@ -42,53 +113,25 @@ class Encoder:
         from tokenizers import Tokenizer
 
         key = f"encoder-{zlib.crc32(config.encode())}-{len(config)}"
-        self.tokenizer, self.known = worker_state().setdefault(key, (None, {}))
-        if self.tokenizer is None:
-            self.tokenizer = Tokenizer.from_str(config)
-            worker_state()[key] = (self.tokenizer, self.known)
-        self.older = worker_state().setdefault(f"older-{key}", {})
-        self.whole = whole
+        if key not in worker_state():
+            worker_state()[key] = _Words(Tokenizer.from_str(config))
+        self.words, self.whole = worker_state()[key], whole
 
     def __call__(self, text: str, end_id: int | None) -> np.ndarray:
+        return np.frombuffer(self.stored(text, end_id), "<u4")
+
+    def stored(self, text: str, end_id: int | None) -> bytes:
+        """The ids as the bytes of little-endian 32-bit integers."""
         end = b"" if end_id is None else end_id.to_bytes(4, "little")
         if self.whole:
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-            return np.frombuffer(ids.tobytes() + end, "<u4")
+            return self.words.whole(text) + end
         raw = text.encode("utf-8", "replace")
         # Special tokens keep their case, and letters that a mark may follow are left to the tokenizer: lower-casing
         # them before it composes the two could give another letter.
         words = (raw if b"<|" in raw or _MARKED.search(raw) else raw.lower()).split()
-        known, older = self.known, self.older
-        new = set(words).difference(known)
-        if new:
-            if len(known) + len(new) > CACHED_WORDS:  # what was met since the last time stays, the rest goes
-                older.clear()
-                older.update(known)
-                known.clear()
-                new = set(words)
-            met = [word for word in new if word in older]
-            known.update(zip(met, map(older.__getitem__, met)))
-            if len(met) < len(new):
-                self._learn(new.difference(met))
-        return np.frombuffer(b"".join([*map(known.__getitem__, words), end]), "<u4")
-
-    def _learn(self, words: set[bytes]) -> None:
-        split = {}
-        for word in words:
-            core = word.rstrip(b".,;:!?")
-            # A capital may become a letter and a mark, which goes with the punctuation: letters in lower case count.
-            if len(core) < len(word) and core.decode().lower().isalpha():
-                split[word] = core, word[len(core):]
-        needed = [w for w in {*(words - split.keys()), *(p for pair in split.values() for p in pair)} if w not in self.known]
-        texts = [w.decode() for w in needed]
-        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
-        offsets = np.array([a for a, _ in found.offsets], np.int64)
-        cuts, ids = np.searchsorted(offsets, begins), np.array(found.ids, "<u4")
-        for word, a, b in zip(needed, cuts[:-1].tolist(), cuts[1:].tolist()):
-            self.known[word] = ids[a:b].tobytes()
-        for word, (core, tail) in split.items():
-            self.known[word] = self.known[core] + self.known[tail]
+        ids = b"".join([*map(self.words.__getitem__, words), end])
+        self.words.trim()
+        return ids
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
@@ -106,28 +149,24 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, shard, first = Encoder(config.value, whole), TaskContext.get().partitionId(), 0
-        held, ids, count = [], [], 0
 
-        def table() -> pa.RecordBatch:
-            sizes = np.array([len(x) for x in held], np.int64)
-            values = np.concatenate(held).astype(np.int32) if held else np.array([], np.int32)
+        def table(ids: pa.Array, held: list[bytes]) -> pa.RecordBatch:
+            sizes, values = np.array([len(x) // 4 for x in held], np.int64), b"".join(held)
             offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+            values = pa.Array.from_buffers(pa.int32(), len(values) // 4, [None, pa.py_buffer(values)])
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(held), shard, np.int32)),
-                 pa.array(first + offsets[:-1].astype(np.int64)), pa.concat_arrays(ids), pa.array(sizes),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
+                [pa.array(np.full(len(held), shard, np.int32)), pa.array(first + offsets[:-1].astype(np.int64)),
+                 ids, pa.array(sizes), pa.ListArray.from_arrays(pa.array(offsets), values)],
                 ["shard", "first", "doc_id", "n_tokens", "ids"])
 
         for batch in batches:
+            ids, held, count, last = batch.column(0), [], 0, batch.num_rows - 1
             for i, t in enumerate(batch.column(1)):
-                held.append(encode(t.as_py() or "", end_id))
-                ids.append(batch.column(0).slice(i, 1))
-                count += len(held[-1])
-                if count >= FLUSH_IDS or len(held) >= 10_000:
-                    yield table()
-                    first, held, ids, count = first + count, [], [], 0
-        if held:
-            yield table()
+                held.append(encode.stored(t.as_py() or "", end_id))
+                count += len(held[-1]) // 4
+                if count >= FLUSH_IDS or i == last:
+                    yield table(ids.slice(i + 1 - len(held), len(held)), held)
+                    first, held, count = first + count, [], 0
 
     picked = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = picked.schema["doc_id"].dataType.simpleString()

@@ -10,12 +10,14 @@ import random
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
 import pytest
+import tokenizers
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from jobtide.llm.mixing import hypergeometric, mix, mixed_sizes, placements, ranked, split_quotas, targets
 from jobtide.llm import tokens
@@ -124,6 +126,49 @@ def test_words_of_two_generations_stay(monkeypatch):
         assert encode(text, None).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_new_words_of_letters_skip_all_but_the_model(monkeypatch):
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.seen = tokenizer, []
+
+        def encode(self, text, **how):
+            self.seen.append(text)
+            return self.tokenizer.encode(text, **how)
+
+        def __getattr__(self, name):
+            return getattr(self.tokenizer, name)
+
+    whole, config, draw = Tokenizer.from_file(TOKENIZER), Path(TOKENIZER).read_text() + "  ", random.Random(8)
+    counting = Counting(Tokenizer.from_str(config))
+    monkeypatch.setattr(tokenizers, "Tokenizer", SimpleNamespace(from_str=lambda _: counting))
+    encode = Encoder(config)
+    words = ["".join(draw.choices("abcdefgéñüßσλдж", k=draw.randint(1, 12))) + draw.choice(["", "", ",", "?!", "***"]) for _ in range(3000)]
+    for text in (" ".join(words), "Don't " + " ".join(words[::-1]) + " 12,5 don't", "N\u00c3O n\u00e3o, \u0130x."):
+        assert encode(text, None).tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert sorted(counting.seen) == sorted([",", "?!", "***", "don't", "12,5", "\u0130x."])
+
+
+def test_letters_of_all_scripts_encode_as_the_whole_text_does():
+    tokenizer, encode, draw = Tokenizer.from_file(TOKENIZER), Encoder(Path(TOKENIZER).read_text()), random.Random(6)
+    letters = [chr(c) for c in range(0x41, 0x1200) if chr(c).isalpha()]
+    parts = [*letters, *(chr(c) for c in range(0x300, 0x370)), *"'<|>0-" * 9]
+    texts = [c + " x" + c + c + "*?" for c in letters]
+    texts += ["".join(draw.choices(parts, k=4)) + draw.choice(["", ").", "!'"]) + " a" for _ in range(4000)]
+    for text in texts:
+        assert encode(text, None).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def test_other_tokenizers_take_no_short_cut_that_differs():
+    vocab = {c: i for i, c in enumerate(["a", "b", "c", "x", ".", "\u2581", "ab", "\u2581a"])}
+    added, spaced = (Tokenizer(models.BPE(vocab, [("a", "b"), ("\u2581", "a")])) for _ in range(2))
+    added.pre_tokenizer, spaced.pre_tokenizer = pre_tokenizers.BertPreTokenizer(), pre_tokenizers.Metaspace()
+    added.add_tokens(["bc"])
+    for tokenizer in (added, spaced):
+        encode = Encoder(tokenizer.to_str())
+        for text in ("abc xabc. ab", "a ab ba", "c. abx bc"):
+            assert encode(text, None).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def brute_nearest(rows, every, k):
     usable = {}
     for i, v in rows:
